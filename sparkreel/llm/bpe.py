@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from .common import map_rows
 
 #: Distinct pieces that a task remembers at once.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 400_000
 #: Characters of text handled by one pair of queries.
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 2 << 20
 #: Ids decoded by one query.
 DECODE_IDS = 1 << 18
 
@@ -69,7 +69,7 @@ class DuckBpe:
 
     def __init__(self, path: str, pattern: str):
         self.ranks, self.pattern = load_ranks(path), regex.compile(pattern)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         self.cache: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
         self.after: dict[str, bytes] = {}
@@ -97,7 +97,7 @@ class DuckBpe:
         at = 0
         while at < len(open_):
             size, end = 0, at
-            while end < len(open_) and (size == 0 or size + len(open_[end]) < 1 << 20):
+            while end < len(open_) and (size == 0 or size + len(open_[end]) < 1 << 19):
                 size += len(open_[end])
                 end += 1
             raw = [p.encode() for p in open_[at:end]]
@@ -241,14 +241,16 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id"
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``, one row per document.
 
     Null and empty texts have no ids. A null doc_id keeps its row, repeated rows repeat, an empty
-    table gives no rows, and other columns are ignored.
+    table gives no rows, and other columns are ignored. Encoding and decoding share one worker, so
+    a task holds one connection and one batch of texts.
     """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sha = lambda b: hashlib.sha256(b).hexdigest()
-        for batch in batches:
-            ids = [x.as_py() for x in batch.column(1)]
-            columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(sha, ids), pa.string()), pa.array([sha(x.as_py()) for x in batch.column(2)], pa.string())]
+        bpe, sha = coder(ranks, pattern), lambda b: hashlib.sha256(b).hexdigest()
+        for rows in _batches((d.as_py(), t.as_py() or "") for b in batches for d, t in zip(b.column(0), b.column(1))):
+            ids = bpe.encode([r[1] for r in rows])
+            back = [sha(x) for x in bpe.decode(ids)]
+            columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(sha, ids), pa.string()), pa.array(back, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    decoded = decode_documents(encode_documents(docs, ranks, pattern, id_col, text_col), ranks, pattern)
-    return map_rows(decoded, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", run)
+    return map_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", run)
