@@ -70,20 +70,23 @@ def best_fit_decreasing(histogram: dict[int, int], capacity: int = CAPACITY) ->
     """``(length, rank, count, bin, offset)``: pieces rank.. of that length go to bins bin.. at offset."""
     tree, places, opened = CapacityTree(capacity), [], 0
     for length in sorted(histogram, reverse=True):
-        left, rank = histogram[length], 0
-        while left:
-            room = tree.tightest(length)
-            if room is None:
-                first, size, room = opened, left, capacity
-                opened += left
-            else:
-                first, size = tree.pop(room)
+        left, rank, fit = histogram[length], 0, capacity // length
+        while left and (room := tree.tightest(length)) is not None:
+            first, size = tree.pop(room)
             n = min(left, size)
             places.append((length, rank, n, first, capacity - room))
             tree.push(room - length, (first, n))
             if size > n:
                 tree.push(room, (first + n, size - n))
             left, rank = left - n, rank + n
+        # No open bin is left for this length: whole new bins of it, then one with the remainder.
+        for bins, layers in ((left // fit, fit), (1, left % fit)):
+            if bins and layers:
+                for layer in range(layers):
+                    places.append((length, rank, bins, opened, layer * length))
+                    rank += bins
+                tree.push(capacity - layers * length, (opened, bins))
+                opened += bins
     return places
 
 
