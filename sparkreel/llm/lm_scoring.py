@@ -256,6 +256,8 @@ def _score(n: int, v: int, weights: np.ndarray):
         single, pair = counts[0][block.kinds[0][1]], counts[1][block.kinds[1][1]]
         w = weights[np.minimum(_bucket(context), BUCKETS - 1)]
         p = w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * single / max(n, 1) + w[:, 2] / (v + 1)
+        if not n:
+            p = np.full(len(p), 1 / (v + 1))
         docs = len(block.ids)
         add = lambda x: np.bincount(block.doc, x, docs)
         return pa.table({

@@ -120,7 +120,7 @@ def fit_labellers(patterns: dict[str, int], rounds: int = 100) -> tuple[np.ndarr
     It starts from the majority of votes. Without any vote the share stays one half.
     """
     keys = sorted(patterns)
-    v = np.array([[int(c) for c in k] for k in keys], np.int64).reshape(len(keys), -1)
+    v = np.array([[int(c) for c in k] for k in keys], np.int64).reshape(len(keys), len(keys[0]) if keys else len(LABELLERS))
     weight = np.array([patterns[k] for k in keys], float)
     good, bad = v == 1, v == 0
     cast = good.sum(1) + bad.sum(1)
