@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+import traceback
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import MiningConfig
 from ..functions import answer_matches
+from ..functions.answers import LETTER_PATTERNS
 
 
 def enough(hits: Column, misses: Column, config: MiningConfig) -> Column:
@@ -59,30 +62,23 @@ def stop_early(results: DataFrame, samples: DataFrame, config: MiningConfig, flu
 def ask_until_enough(
     rounds: DataFrame,
     samples: DataFrame,
-    predict: Callable[[dict, list[list[int]]], list[str | None]],
+    predict: Callable[[dict, list[tuple[int, list[int]]]], list[str | None]],
     config: MiningConfig,
     flush_tail: bool = True,
     match: str = "exact",
 ) -> DataFrame:
     """The same rows, for a predictor that costs: a sample's batches are asked in turn until it has enough.
 
-    ``predict(sample, frames of each round)`` runs in the task. A sample is one group: its rounds
+    ``predict(sample, [(round_id, frames), ..])`` runs in the task. A sample is one group: its rounds
     are bounded by ``max_iterations``. An exception makes one row with ``error`` and no prediction.
     """
     b, least_pos, least_neg, limit, k = config.batch_size, config.min_pos_samples, config.min_neg_samples, config.round_limit, config.budget_k
 
     def letter(text: str | None) -> str | None:
-        import re
-
-        bare = (text or "").strip()
-        for pattern in (r"\(([A-Za-z])\)", r"^([A-Ha-h])", r"(?i)(?:answer|option)\s*(?:is\s*)?([A-Za-z])"):
-            if m := re.search(pattern, bare):
-                return m.group(1).upper()
-        return None
+        found = (re.search(p, (text or "").strip()) for p in LETTER_PATTERNS)
+        return next((m.group(1).upper() for m in found if m), None)
 
     def run(pdf):
-        import traceback
-
         import pandas as pd
 
         pdf = pdf.sort_values("round_id")
@@ -97,7 +93,7 @@ def ask_until_enough(
                 asked = min(at + b, generated)
                 if len(part) < b and not flush_tail and generated < expected:
                     break
-                answers = predict(sample, [list(x) for x in part["frame_indices"]])
+                answers = predict(sample, [(int(r), list(f)) for r, f in zip(part["round_id"], part["frame_indices"])])
                 rows += list(zip(part["round_id"], part["frame_indices"], answers))
                 for a in answers:
                     hit = (letter(a) is not None and letter(a) == letter(truth)) if match == "letter" else a is not None and a == truth
@@ -112,15 +108,3 @@ def ask_until_enough(
     schema = "sample_id string, sample_index long, round_id int, frame_indices array<long>, prediction string, error string, traceback string, num_rounds long"
     joined = rounds.select("sample_index", "round_id", "frame_indices").join(samples, "sample_index")
     return joined.groupBy("sample_index").applyInPandas(run, schema)
-
-
-def batches_of(items: Iterator, size: int) -> Iterator[list]:
-    """Lists of ``size`` items; the last may be shorter."""
-    batch = []
-    for item in items:
-        batch.append(item)
-        if len(batch) == size:
-            yield batch
-            batch = []
-    if batch:
-        yield batch

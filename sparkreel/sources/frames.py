@@ -7,8 +7,10 @@ for those it can read, since video libraries differ from place to place.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +52,7 @@ def _by_video(batches: Iterator) -> Iterator[tuple[str, str, list[int]]]:
 
 
 def extract_frames(wanted: DataFrame, decode: Decode, folder: str, digits: int = 6, video_root: str = "") -> DataFrame:
-    """Write ``folder/{video_name}/{number}.jpg`` and return ``(video_path, video_name, frame_index, status)``.
+    """Write ``folder/{video_name}/{number}.jpg``, on any storage pyarrow opens, and return ``(video_path, video_name, frame_index, status)``.
 
     ``decode`` yields the files' bytes. A frame that can't be read, or any frame of a video that
     can't be opened, is 'failed'. A file is written under another name and renamed, so a task that
@@ -62,13 +64,15 @@ def extract_frames(wanted: DataFrame, decode: Decode, folder: str, digits: int =
 
         for path, name, frames in _by_video(batches):
             done = set()
-            os.makedirs(os.path.join(folder, name), exist_ok=True)
+            files, base = fs.FileSystem.from_uri(folder if "://" in folder else os.path.abspath(folder))
+            files.create_dir(f"{base}/{name}", recursive=True)
             try:
                 for frame, image in decode(os.path.join(video_root, path) if video_root else path, frames):
-                    target = os.path.join(folder, name, f"{frame:0{digits}d}.jpg")
-                    with open(f"{target}.{os.getpid()}.part", "wb") as out:
+                    target = f"{base}/{name}/{frame:0{digits}d}.jpg"
+                    part = f"{target}.{uuid.uuid4().hex}.part"
+                    with files.open_output_stream(part, compression=None) as out:
                         out.write(image)
-                    os.replace(f"{target}.{os.getpid()}.part", target)
+                    files.move(part, target)
                     done.add(frame)
             except OSError:
                 pass  # what wasn't written is reported as failed

@@ -108,7 +108,7 @@ def test_live_model_and_failures(spark):
     def answer(sample, rounds):
         if sample["sample_index"] == 1:
             raise ValueError("no video")
-        return ["(A) Red" if r[0] % 20 else "B" for r in rounds]
+        return ["(A) Red" if frames_[0] % 20 else "B" for _, frames_ in rounds]
 
     config = MiningConfig(budget_k=4, batch_size=4, min_pos_samples=1)
     m = {r["sample_index"]: r for r in mining.mine_live(s, answer, config).collect()}
