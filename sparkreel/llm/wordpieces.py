@@ -10,7 +10,7 @@ import regex
 from tokenizers import Tokenizer
 
 #: Distinct words that a task remembers at once.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -20,6 +20,21 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Words(dict):
+    """Ids by word; a word that isn't there yet is encoded."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.encode(word)
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of whole texts, as 32-bit little-endian bytes, the same as ``Tokenizer.encode`` gives.
 
@@ -33,7 +48,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         spec = json.loads(open(path, encoding="utf-8").read())
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.cache: dict[bytes, bytes] = {}
+        self.cache = _Words(self._word)
         self.pieces: dict[str, bytes] = {}
         self.letters = _byte_letters()
         steps = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
@@ -53,13 +68,10 @@ class WordEncoder:
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
         if any(s in text for s in self.special) or not text.isascii():
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if self._odd(text) else self._split(unicodedata.normalize("NFC", text))
-        else:
-            ids = self._split(text)
-        if len(self.cache) >= CACHE_WORDS:
-            self.cache.clear()
-        self.cache[word] = ids
-        return ids
+            if self._odd(text):
+                return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            text = unicodedata.normalize("NFC", text)
+        return self._split(text)
 
     def _odd(self, text: str) -> bool:
         """Whether case or composition could differ between this library's Unicode tables and Python's."""
@@ -83,8 +95,7 @@ class WordEncoder:
             return b""
         if not self.by_word:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        get, own = self.cache.get, self._word
-        return b"".join([get(w) or own(w) for w in text.encode().split()])
+        return b"".join(map(self.cache.__getitem__, text.encode().split()))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
