@@ -20,10 +20,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import Memory, map_rows
 
-#: Distinct pieces that a task remembers at once.
-CACHE_PIECES = 400_000
+#: Distinct pieces, and distinct parts between blanks, that a worker remembers.
+CACHE_PIECES, CACHE_PARTS = 600_000, 600_000
 #: Characters of text handled by one pair of queries.
 BATCH_CHARS = 2 << 20
 #: Ids decoded by one query.
@@ -70,9 +70,7 @@ class DuckBpe:
     def __init__(self, path: str, pattern: str):
         self.ranks, self.pattern = load_ranks(path), regex.compile(pattern)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
-        self.cache: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
-        self.after: dict[str, bytes] = {}
+        self.cache, self.first, self.after = Memory(CACHE_PIECES), Memory(CACHE_PARTS // 8), Memory(CACHE_PARTS)
         # A blank with white space before it and white space or nothing after it.
         self.blanks = re.compile(r"\s (?:\s|\Z)")
         token = pa.array(list(self.ranks.values()), pa.int64())
@@ -121,6 +119,8 @@ class DuckBpe:
         the blank lead what follows; so a text is cut at its blanks and each distinct part is cut by
         the pattern once. Texts with longer runs of white space are cut by the pattern as a whole.
         """
+        for memory in (self.cache, self.first, self.after):
+            memory.make_room()
         split, whole, first, after = [], {}, set(), set()
         for text in texts:
             if self.blanks.search(text):
@@ -129,23 +129,15 @@ class DuckBpe:
                 continue
             parts = text.split(" ")
             split.append(parts)
-            if parts[0] not in self.first:
+            known = self.first
+            if parts[0] not in known:
                 first.add(parts[0])
             known = self.after
             after.update([p for p in set(parts[1:]) if p not in known])
-        if len(self.after) + len(after) + len(self.first) + len(first) > CACHE_PIECES:
-            self.first.clear()
-            self.after.clear()
-            first = {p[0] for i, p in enumerate(split) if i not in whole}
-            after = {x for p in split for x in p[1:]}
-        cuts_first = {p: self.pattern.findall(p) for p in first}
-        cuts_after = {p: self.pattern.findall(" " + p) for p in after}
+        cuts_first = {p: self.pattern.findall(p) for p in first if not self.first.has(p)}
+        cuts_after = {p: self.pattern.findall(" " + p) for p in after if not self.after.has(p)}
         used = {x for cuts in (cuts_first, cuts_after, whole) for pieces in cuts.values() for x in pieces}
-        new = [x for x in used if x not in self.cache]
-        if len(self.cache) + len(new) > CACHE_PIECES:
-            self.cache.clear()
-            new = list(used)
-        self._learn(new)
+        self._learn([x for x in used if not self.cache.has(x)])
         get = self.cache.__getitem__
         self.first.update((p, b"".join(map(get, pieces))) for p, pieces in cuts_first.items())
         self.after.update((p, b"".join(map(get, pieces))) for p, pieces in cuts_after.items())

@@ -73,3 +73,27 @@ def publish(uri: str, write: Callable[[pa.NativeFile], None]) -> None:
     with files.open_output_stream(part, compression=None) as out:
         write(out)
     files.move(part, path)
+
+
+class Memory(dict):
+    """About ``size`` values that were used last: when half of them are new, the older half goes."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size = size
+        self.old: dict = {}
+
+    def make_room(self) -> None:
+        if len(self) > self.size // 2:
+            self.old = dict(self)
+            self.clear()
+
+    def has(self, key) -> bool:
+        """Whether there is a value; one of the older half counts as used."""
+        if key in self:
+            return True
+        value = self.old.get(key)
+        if value is None:
+            return False
+        self[key] = value
+        return True

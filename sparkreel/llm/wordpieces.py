@@ -9,8 +9,10 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Distinct words that a task remembers at once.
-CACHE_WORDS = 500_000
+from .common import Memory
+
+#: Distinct words, and distinct pieces of them, that a worker remembers.
+CACHE_WORDS, CACHE_PIECES = 800_000, 400_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -20,19 +22,18 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class _Words(dict):
-    """Ids by word; a word that isn't there yet is encoded."""
+class _Words(Memory):
+    """Ids by word; a word that isn't there is encoded."""
 
     def __init__(self, encode):
-        super().__init__()
+        super().__init__(CACHE_WORDS)
         self.encode = encode
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.encode(word)
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = ids
-        return ids
+        self.make_room()
+        if not self.has(word):
+            self[word] = self.encode(word)
+        return self[word]
 
 
 class WordEncoder:
@@ -49,7 +50,7 @@ class WordEncoder:
         spec = json.loads(open(path, encoding="utf-8").read())
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.cache = _Words(self._word)
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Memory(CACHE_PIECES)
         self.letters = _byte_letters()
         steps = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
@@ -80,14 +81,11 @@ class WordEncoder:
     def _split(self, text: str) -> bytes:
         out = []
         for piece in self.pattern.findall(text.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
+            if not self.pieces.has(piece):
                 shown = "".join(map(self.letters.__getitem__, piece.encode()))
-                ids = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
-                if len(self.pieces) >= CACHE_WORDS:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
-            out.append(ids)
+                self.pieces.make_room()
+                self.pieces[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+            out.append(self.pieces[piece])
         return b"".join(out)
 
     def encode(self, text: str | None) -> bytes:
