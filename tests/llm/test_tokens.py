@@ -141,11 +141,12 @@ def test_bpe_equals_library(spark):
 
 
 def test_bpe_forgets_and_still_encodes(monkeypatch):
-    coder = bpe.DuckBpe(RANKS, public_tokenizers.PATTERN)
-    want = coder.encode(ODD)
+    want = bpe.DuckBpe(RANKS, public_tokenizers.PATTERN).encode(ODD)
     monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
+    monkeypatch.setattr(bpe, "CACHE_PARTS", 8)
     monkeypatch.setattr(bpe, "DECODE_IDS", 7)
-    assert [coder.encode([t])[0] for t in ODD] == want and coder.decode(want) == [t.encode() for t in ODD]
+    coder = bpe.DuckBpe(RANKS, public_tokenizers.PATTERN)
+    assert [coder.encode([t])[0] for t in ODD * 2] == want * 2 and coder.decode(want) == [t.encode() for t in ODD]
 
 
 def test_bpe_rows(spark):
