@@ -117,6 +117,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     keys = materialise(rows.select("page_id", "digest", F.octet_length("payload").alias("size")), "digests")
     large = keys.where(F.col("size") >= min_revisit)
     stored = large.groupBy("digest").agg(F.max("page_id").alias("stored"), F.count("*").alias("n")).where("n > 1").drop("n")
+    stored = materialise(stored, "stored")  # two plain shuffles meet in the join, so that Spark can split a frequent payload
     again = large.join(stored, "digest").where("page_id != stored or (page_id is null and stored is not null)").select(F.col("page_id").alias("id"), F.col("digest").alias("of"), "stored").distinct()
     dictionary = train_dictionary(rows)
     dealt = rows.join(again, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left").select("page_id", "url", F.when(F.col("of").isNull(), F.col("payload")).alias("payload"), F.octet_length("payload").alias("size"), "digest", "stored")

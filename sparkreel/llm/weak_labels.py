@@ -202,14 +202,20 @@ def vote_patterns(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
     return {r[0]: r[1] for r in counted.groupBy("pattern").agg(F.sum("n")).collect()}  # 3 ** 8 rows at most
 
 
-def fit(docs: DataFrame, text_col: str = "text", train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
-    """The scorer's weights, the labellers' accuracies, and the share of good documents."""
+def fit(docs: DataFrame, text_col: str = "text", train_rows: int = TRAIN_ROWS, id_col: str = "doc_id") -> tuple[np.ndarray, np.ndarray, float]:
+    """The scorer's weights, the labellers' accuracies, and the share of good documents.
+
+    The sample goes by a hash of text and, where there is one, id, so that copies of a text don't
+    stand or fall together.
+    """
     patterns = vote_patterns(docs, text_col)
     right, prior = fit_labellers(patterns)
     total = sum(patterns.values())
     every = 1 << 30
-    part = docs.select(F.col(text_col).cast("string").alias("text"))
-    part = part.where(F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(every)) < int(every * min(1.0, train_rows / max(1, total)))).limit(2 * train_rows)
+    ids = [F.col(id_col)] if id_col in docs.columns else []
+    draw = F.pmod(F.xxhash64(F.col(text_col).cast("string"), *ids, F.lit("sample")), F.lit(every))
+    part = docs.select(F.col(text_col).cast("string").alias("text"), draw.alias("draw"))
+    part = part.where(F.col("draw") < int(every * min(1.0, train_rows / max(1, total)))).select("text").limit(2 * train_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,7 +258,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     Null and empty texts get no votes and are scored by the constant and their statistics. A null
     doc_id keeps its row, repeated rows repeat, extra columns are ignored, an empty table gives no rows.
     """
-    scored = score_documents(docs, *fit(docs, text_col), text_col, [id_col])
+    scored = score_documents(docs, *fit(docs, text_col, id_col=id_col), text_col, [id_col])
     return scored.select(F.col("row").getField(id_col).cast("long").alias("doc_id"), "score", "weak_posterior", (F.col("score") >= threshold).alias("kept"))
 
 
