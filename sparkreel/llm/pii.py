@@ -1,8 +1,8 @@
 """Format-preserving pseudonyms for personal numbers, dates and addresses.
 
 A value found in a text and validated is replaced by a keyed permutation of its own format: a
-Feistel network over the free digits (or letters) under HMAC-SHA-256. Punctuation, length, check
-digits and ranges stay valid, and equal values have equal pseudonyms in every document, so links
+Feistel network over the free digits (or letters) under HMAC-SHA-256, with a step between two passes
+so that no value stays as it was. Punctuation, length, check digits and ranges stay valid, and equal values have equal pseudonyms in every document, so links
 across documents survive. With the key the permutation can be undone.
 """
 
@@ -50,6 +50,15 @@ def feistel(value: int, size: int, key: bytes, tweak: bytes, back: bool = False)
             return value
 
 
+def permute(value: int, size: int, key: bytes, tweak: bytes, back: bool = False) -> int:
+    """A keyed permutation of range(size) that moves every value: a step between two Feistel passes."""
+    if size < 2:
+        return value
+    step = 1 + int.from_bytes(hmac.digest(key, b"step|%s|%d" % (tweak, size), hashlib.sha256)[:16], "big") % (size - 1)
+    moved = (feistel(value, size, key, tweak) + (-step if back else step)) % size
+    return feistel(moved, size, key, tweak, True)
+
+
 def luhn_digit(digits: str) -> str:
     """The check digit that follows ``digits``."""
     total = sum(d if i % 2 else (2 * d if d < 5 else 2 * d - 9) for i, d in enumerate(map(int, reversed(digits))))
@@ -67,7 +76,7 @@ def _refill(text: str, digits: str) -> str:
 
 
 def _permuted(digits: str, key: bytes, tweak: str, back: bool) -> str:
-    return str(feistel(int(digits), 10 ** len(digits), key, tweak.encode(), back)).zfill(len(digits)) if digits else ""
+    return str(permute(int(digits), 10 ** len(digits), key, tweak.encode(), back)).zfill(len(digits)) if digits else ""
 
 
 def _card(text: str, key: bytes, back: bool) -> str | None:
@@ -96,7 +105,7 @@ def _ssn(text: str, key: bytes, back: bool) -> str | None:
     if area in (0, 666) or area > 899 or not group or not serial:
         return None
     areas = [a for a in range(1, 900) if a != 666]
-    n = feistel((areas.index(area) * 99 + group - 1) * 9999 + serial - 1, len(areas) * 99 * 9999, key, b"ssn", back)
+    n = permute((areas.index(area) * 99 + group - 1) * 9999 + serial - 1, len(areas) * 99 * 9999, key, b"ssn", back)
     return f"{areas[n // 9999 // 99]:03d}-{n // 9999 % 99 + 1:02d}-{n % 9999 + 1:04d}"
 
 
@@ -111,12 +120,18 @@ def _phone(text: str, key: bytes, back: bool) -> str | None:
 
 
 def _ip(text: str, key: bytes, back: bool) -> str | None:
-    """Four octets; the first stays."""
-    parts = [int(x) for x in text.split(".")]
-    if max(parts) > 255:
+    """Four octets without leading zeros; the first stays, the others keep their number of digits."""
+    parts, value, size = text.split("."), 0, 1
+    ranges = [{1: (0, 10), 2: (10, 90), 3: (100, 156)}[len(p)] for p in parts]
+    if any(not low <= int(p) < low + n for p, (low, n) in zip(parts, ranges)):
         return None
-    n = feistel(parts[1] << 16 | parts[2] << 8 | parts[3], 1 << 24, key, b"ip%d" % parts[0], back)
-    return f"{parts[0]}.{n >> 16}.{n >> 8 & 255}.{n & 255}"
+    for p, (low, n) in zip(parts[1:], ranges[1:]):
+        value, size = value * n + int(p) - low, size * n
+    value, new = permute(value, size, key, f"ip{parts[0]}{[len(p) for p in parts]}".encode(), back), []
+    for low, n in reversed(ranges[1:]):
+        value, r = divmod(value, n)
+        new.append(str(low + r))
+    return ".".join([parts[0], *reversed(new)])
 
 
 def _letters(text: str, key: bytes, tweak: str, back: bool) -> str:
@@ -128,7 +143,7 @@ def _letters(text: str, key: bytes, tweak: str, back: bool) -> str:
         if c.isascii() and c.isalnum():
             base = 26 if c.isalpha() else 10
             value, size = value * base + (ord(c.lower()) - 97 if base == 26 else int(c)), size * base
-    value, new = feistel(value, size, key, (tweak + "".join("a" if b == 26 else "0" for b in bases)).encode(), back), []
+    value, new = permute(value, size, key, (tweak + "".join("a" if b == 26 else "0" for b in bases)).encode(), back), []
     for base in reversed(bases):
         value, r = divmod(value, base)
         new.append(chr(97 + r) if base == 26 else str(r))
@@ -148,16 +163,16 @@ _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 3
 def _date(order: str) -> Callable[[str, bytes, bool], str | None]:
     """A calendar date from 1900 to 2099, to another one in the same notation."""
 
-    def permute(text: str, key: bytes, back: bool) -> str | None:
+    def moved(text: str, key: bytes, back: bool) -> str | None:
         parts = dict(zip(order, (int(x) for x in re.findall(r"\d+", text))))
         y, m, d = parts["y"], parts["m"], parts["d"]
         if not 1900 <= y <= 2099 or not 1 <= m <= 12 or not 1 <= d <= calendar.monthrange(y, m)[1]:
             return None
-        n = feistel(datetime.date(y, m, d).toordinal() - _FIRST, _LAST - _FIRST + 1, key, b"date", back)
+        n = permute(datetime.date(y, m, d).toordinal() - _FIRST, _LAST - _FIRST + 1, key, b"date", back)
         day = datetime.date.fromordinal(n + _FIRST)
         return _refill(text, "".join(f"{day.year:04d}" if c == "y" else f"{day.month if c == 'm' else day.day:02d}" for c in order))
 
-    return permute
+    return moved
 
 
 #: Kind, pattern and permutation, tried in this order at each place. A pattern must keep what
@@ -189,8 +204,8 @@ def _replace_run(run: str, key: bytes, back: bool) -> tuple[str, int]:
         if not start:
             break
         i = start.start()
-        for _, pattern, permute in _COMPILED:
-            if (m := pattern.match(run, i)) and (new := permute(m.group(), key, back)) is not None:
+        for _, pattern, replace in _COMPILED:
+            if (m := pattern.match(run, i)) and (new := replace(m.group(), key, back)) is not None:
                 out += [run[at:i], new]
                 at, count = m.end(), count + 1
                 break

@@ -110,7 +110,7 @@ def test_classifier_odd_rows(spark):
 
 
 VALUES = [
-    ("bosbt.42@mail8.example.com", r"[a-z]{5}\.\d\d@mail8\.example\.com"), ("+1 (988) 555-2485", r"\+1 \(\d{3}\) \d{3}-\d{4}"), ("42.144.35.254", r"42(\.\d{1,3}){3}"),
+    ("bosbt.42@mail8.example.com", r"[a-z]{5}\.\d\d@mail8\.example\.com"), ("+1 (988) 555-2485", r"\+1 \(\d{3}\) \d{3}-\d{4}"), ("42.144.35.254", r"42\.\d{3}\.\d\d\.\d{3}"),
     ("4041894974608795", r"404189\d{10}"), ("4111 1111 1111 1111", r"4111 11\d\d \d{4} \d{4}"), ("2021-02-28", r"\d{4}-\d\d-\d\d"), ("31.12.1999", r"\d\d\.\d\d\.\d{4}"), ("12/31/1999", r"\d\d/\d\d/\d{4}"),
     ("DE89 3704 0044 0532 0130 00", r"DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d"), ("123-45-6789", r"\d{3}-\d\d-\d{4}"), ("(555) 123-4567", r"\(\d{3}\) \d{3}-\d{4}"),
 ]
@@ -122,7 +122,7 @@ def test_values_keep_their_form(value, form, frame):
     text = frame.format(*[value] * frame.count("{}"))
     new, n = pii.pseudonymise(text)
     found = re.search(form, new)
-    assert n == frame.count("{}") and value not in new and found and len(new) - len(text) == n * (len(found.group()) - len(value))
+    assert n == frame.count("{}") and value not in new and found and len(new) == len(text)
     assert pii.pseudonymise(new, back=True) == (text, n)
     assert pii.pseudonymise(text, b"other key")[0] != new
 
@@ -139,6 +139,9 @@ def test_pseudonyms_stay_valid_and_one_to_one():
     assert len(set(new)) == len(cards) and all(pii.luhn_digit(c[:-1]) == c[-1] for c in new)
     for size in (1, 2, 3, 10, 97, 1000):
         image = [pii.feistel(i, size, b"k", b"t") for i in range(size)]
+        moved = [pii.permute(i, size, b"k", b"t") for i in range(size)]
+        assert sorted(moved) == list(range(size)) and [pii.permute(x, size, b"k", b"t", True) for x in moved] == list(range(size))
+        assert size == 1 or all(i != x for i, x in enumerate(moved))
         assert sorted(image) == list(range(size)) and [pii.feistel(x, size, b"k", b"t", True) for x in image] == list(range(size))
 
 
