@@ -110,7 +110,6 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     The payload itself moves once, by page_id; which record is stored is settled on digests alone.
     Files are renamed into place, so a task that runs twice leaves a file that no manifest names.
     """
-    spark = pages.sparkSession
     payload = F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
@@ -121,7 +120,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     again = large.join(stored, "digest").where("page_id != stored or (page_id is null and stored is not null)").select(F.col("page_id").alias("id"), F.col("digest").alias("of"), "stored").distinct()
     dictionary = train_dictionary(rows)
     dealt = rows.join(again, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left").select("page_id", "url", F.when(F.col("of").isNull(), F.col("payload")).alias("payload"), F.octet_length("payload").alias("size"), "digest", "stored")
-    dealt = dealt.repartition(partitions(spark), "page_id", "digest").sortWithinPartitions("page_id")
+    dealt = dealt.sortWithinPartitions("page_id")  # the join has dealt the pages out, or left them where they were read
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
