@@ -213,11 +213,16 @@ def near_duplicates(
     )
 
 
+def keep_named(docs: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id names its component in ``groups(doc_id, component_id)``, and those without an id."""
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs[id_col].cast("long") == kept["_kept"], "left").where(F.col("_kept").isNotNull() | docs[id_col].isNull()).drop("_kept")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` whose id names their component: one document of each group.
 
     Rows that share an id with the kept document (repeated rows) are all kept; so are rows with a
     null id, which can't be told apart.
     """
-    kept = near_duplicates(docs, id_col, text_col, max_bits).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].cast("long") == kept["_kept"], "left").where(F.col("_kept").isNotNull() | docs[id_col].isNull()).drop("_kept")
+    return keep_named(docs, near_duplicates(docs, id_col, text_col, max_bits), id_col)
