@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 from helpers import DOCS, odd_documents
+from pyspark.sql import functions as F
 
 from sparkreel.llm import lm_scoring, perplexity, pii, warc, weak_labels
 
@@ -82,6 +83,15 @@ def test_quality_odd_rows(spark):
     assert perplexity.quality(empty).count() == perplexity.filter_documents(empty).count() == 0
 
 
+def test_copies_do_not_set_the_band(spark):
+    docs = documents(spark, "sf0.01").where("lang = 'es'")
+    copied = perplexity.quality(docs).where("kept").orderBy("doc_id").first()["doc_id"]
+    copies = docs.where(f"doc_id = {copied}").crossJoin(spark.range(10 * docs.count())).withColumn("doc_id", F.col("id") + 1_000_000).drop("id")
+    rows = perplexity.quality(docs.unionByName(copies)).where("doc_id < 1000000 and not base_failed").collect()
+    kept = sum(r["kept"] for r in rows)
+    assert kept > 0.8 * len(rows), (kept, len(rows))
+
+
 def test_em_finds_accuracies():
     rng = np.random.default_rng(4)
     truth, right = rng.random(20_000) < 0.8, [0.95, 0.9, 0.7, 0.6, 0.85]
