@@ -8,6 +8,7 @@ across documents survive. With the key the permutation can be undone.
 
 from __future__ import annotations
 
+import bisect
 import calendar
 import datetime
 import hashlib
@@ -110,13 +111,13 @@ def _ssn(text: str, key: bytes, back: bool) -> str | None:
 
 
 def _phone(text: str, key: bytes, back: bool) -> str | None:
-    """7 to 15 digits; the country code after + stays, and so does the first digit of what follows."""
-    lead = re.match(r"\+\d{1,3}(?=\D)|\+\d", text)
+    """7 to 15 digits; the country code after + or a leading 1 stays, and so does the first digit of what follows."""
+    lead = re.match(r"\+\d{1,3}(?=\D)|\+\d|1[ .-](?=\(|\d{3}[.-])", text)
     start = lead.end() if lead else 0
     d = _digits(text[start:])
     if not 7 <= len(_digits(text)) <= 15 or len(d) < 6:
         return None
-    return text[:start] + _refill(text[start:], d[0] + _permuted(d[1:], key, "phone" + text[:start], back))
+    return text[:start] + _refill(text[start:], d[0] + _permuted(d[1:], key, "phone" + (text[:start] if text[0] == "+" else ""), back))
 
 
 def _ip(text: str, key: bytes, back: bool) -> str | None:
@@ -175,19 +176,36 @@ def _date(order: str) -> Callable[[str, bytes, bool], str | None]:
     return moved
 
 
+#: Dates that can't be read month first: those after the 12th.
+_LATE = [n for n in range(_FIRST, _LAST + 1) if datetime.date.fromordinal(n).day > 12]
+
+
+def _day_first(text: str, key: bytes, back: bool) -> str | None:
+    """A date after the 12th, day first, to another such one, so that the new date isn't read month first."""
+    d, m, y = (int(x) for x in re.findall(r"\d+", text))
+    if not 1900 <= y <= 2099 or not 1 <= m <= 12 or not 12 < d <= calendar.monthrange(y, m)[1]:
+        return None
+    n = permute(bisect.bisect_left(_LATE, datetime.date(y, m, d).toordinal()), len(_LATE), key, b"late date", back)
+    day = datetime.date.fromordinal(_LATE[n])
+    return _refill(text, f"{day.day:02d}{day.month:02d}{day.year:04d}")
+
+
+#: What may not follow a date: a letter or digit, but for a time, or more of a number.
+_DATE_END = r"(?!(?![Tt]\d)\w|[-/.]\d)"
 #: Kind, pattern and permutation, tried in this order at each place. A pattern must keep what
 #: surrounds a value out of it: no digit, letter or part of a longer number may touch it.
 KINDS: list[tuple[str, str, Callable[[str, bytes, bool], str | None]]] = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])", _email),
     ("iban", r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
-    ("ymd", r"\d{4}([-/.])\d{2}\1\d{2}(?![\w]|[-/.]\d)", _date("ymd")),
-    ("dmy", r"\d{2}\.\d{2}\.\d{4}(?![\w]|[-/.]\d)", _date("dmy")),
-    ("mdy", r"\d{2}/\d{2}/\d{4}(?![\w]|[-/.]\d)", _date("mdy")),
+    ("ymd", r"\d{4}([-/.])\d{2}\1\d{2}" + _DATE_END, _date("ymd")),
+    ("dmy", r"\d{2}\.\d{2}\.\d{4}" + _DATE_END, _date("dmy")),
+    ("mdy", r"\d{2}([-/])\d{2}\1\d{4}" + _DATE_END, _date("mdy")),
+    ("day_first", r"\d{2}([-/])\d{2}\1\d{4}" + _DATE_END, _day_first),
     ("ip", r"\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", _ip),
     ("ssn", r"\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
     ("card", r"\d(?:[ -]?\d){12,18}(?![\w]|-\d)", _card),
     ("phone", r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w])", _phone),
-    ("local_phone", r"(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?![\w-])", _phone),
+    ("local_phone", r"(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?![\w-])", _phone),
 ]
 _STARTS = re.compile(r"(?<![A-Za-z0-9_])(?<!\d[.-])(?=[A-Za-z0-9+(])")
 _COMPILED = [(name, re.compile(pattern), fn) for name, pattern, fn in KINDS]

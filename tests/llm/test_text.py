@@ -142,6 +142,22 @@ def test_other_numbers_stay(text):
     assert pii.pseudonymise(text) == (text, 0)
 
 
+@pytest.mark.parametrize("value", ["25/12/1990", "25-12-1990", "12/25/1990", "12-25-1990", "2021-03-04T10:00", "2021-03-04t10:00", "25/12/1990T10:00", "1-555-123-4567", "1.555.123.4567", "1 (555) 123-4567"])
+@pytest.mark.parametrize("frame", ["{}", "x {} y", "({})."])
+def test_more_forms_of_dates_and_phones(value, frame):
+    text = frame.format(value)
+    new, n = pii.pseudonymise(text)
+    assert n == 1 and value not in new and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text)
+    assert pii.pseudonymise(new, back=True) == (text, 1)
+
+
+def test_day_first_dates_stay_apart_from_month_first():
+    new = {pii.pseudonymise(f"{d:02d}/{m:02d}/1990")[0] for d in range(13, 29) for m in range(1, 13)}
+    assert len(new) == 16 * 12 and all(12 < int(x[:2]) <= 31 and 1 <= int(x[3:5]) <= 12 for x in new)
+    assert pii.pseudonymise("31/02/1990") == ("31/02/1990", 0) and pii.pseudonymise("25/13-1990") == ("25/13-1990", 0)
+    assert pii.pseudonymise("1-555-123-4567")[0] == "1-" + pii.pseudonymise("555-123-4567")[0]
+
+
 def test_pseudonyms_stay_valid_and_one_to_one():
     cards = [f"411111{i:09d}" for i in range(0, 3000, 7)]
     cards = [c + pii.luhn_digit(c) for c in cards]
