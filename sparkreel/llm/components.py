@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,22 @@ from .common import materialise
 SALTS = 8
 
 
+def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` (the least known member of each component, for all members) after the links (a, b).
+
+    Only roots are hooked: another node's label may be the one record of an older link.
+    """
+    while True:
+        a, b = label[a], label[b]
+        apart = a != b
+        if not apart.any():
+            return label
+        a, b = a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label != (up := label[label])).any():
+            label = up
+
+
 def _with_minimum(pairs: DataFrame, include_self: bool) -> DataFrame:
     """Each pair (u, v) with m, the least neighbour of u (or u itself).
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, materialise
-from .components import connected_components
+from .components import connected_components, join_labels
 
 THRESHOLD = 0.9
 #: Vectors in a tile; a group holds two tiles.
@@ -159,15 +159,7 @@ def _tile_pair(axes: np.ndarray, threshold: float):
                 if alone:
                     a, b = a[a < b], b[a < b]
                 links += np.bincount(a, weight[b], len(ids)).astype(np.int64) + np.bincount(b, weight[a], len(ids)).astype(np.int64)
-                while len(a):
-                    least, before = np.minimum(label[a], label[b]), label.copy()
-                    np.minimum.at(label, before[a], least)
-                    np.minimum.at(label, before[b], least)
-                    label = label[label]
-                    if (label == before).all():
-                        break
-        while (label != label[label]).any():
-            label = label[label]
+                label = join_labels(label, a, b)
         got = np.flatnonzero(links)
         return pa.table({"id": ids[got], "links": links[got], "root": ids[label[got]]})
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, materialise, partitions
-from .components import connected_components
+from .components import connected_components, join_labels
 
 SEED = 42
 SHINGLE = 3
@@ -106,17 +106,7 @@ def group_links(x: np.ndarray, max_bits: int = MAX_BITS, batch: int = 2048) -> t
             who, node, apart = who[inside], node[inside], apart[inside]
             apart = apart + np.bitwise_count((x[who] ^ pattern[node]) & mask[node])
         near = (apart <= max_bits) & (who < node)
-        a, b = who[near], node[near]
-        while len(a):
-            least = np.minimum(label[a], label[b])
-            before = label.copy()
-            np.minimum.at(label, before[a], least)
-            np.minimum.at(label, before[b], least)
-            label = label[label]
-            if (label == before).all():
-                break
-    while (label != label[label]).any():
-        label = label[label]
+        label = join_labels(label, who[near], node[near])
     moved = np.flatnonzero(label != np.arange(n))
     return moved, label[moved]
 

@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from helpers import DOCS, components, odd_documents
@@ -111,6 +112,21 @@ def test_vectors_equal_brute_force(spark, tile):
     assert {i: (r["n_links"], r["component_id"], r["kept"]) for i, r in got.items()} == {i: (degree[i], want[i], want[i] == i) for i in ids}
 
 
+def test_tile_keeps_links_of_earlier_blocks(monkeypatch):
+    toy = [(64, 100), (65, 100), (2, 130), (2, 66), (1, 131), (3, 132), (3, 67), (0, 133), (64, 130), (66, 131), (65, 132), (67, 133)]
+    place = lambda i: i // 16 * 512 + i % 16  # noqa: E731  blocks of 16 by 64 to those of 512 by 2048
+    links, n = {(place(a), place(b)) for a, b in toy}, 4608
+
+    def near(x, y, raw_x, raw_y, threshold):
+        found = [(i - int(raw_x[0, 0]), j - int(raw_y[0, 0])) for i, j in sorted(links) if raw_x[0, 0] <= i <= raw_x[-1, 0] and raw_y[0, 0] <= j <= raw_y[-1, 0]]
+        return tuple(np.array(v, np.int64) for v in zip(*found)) if found else (np.empty(0, np.int64),) * 2
+
+    monkeypatch.setattr(embeddings, "_near", near)
+    rows = pa.table({"role": [0] * n, "two": [False] * n, "id": list(range(n)), "n": [1] * n, "embedding": [[float(i), 1.0] for i in range(n)]})
+    out = embeddings._tile_pair(np.eye(2), 0.9)(rows).to_pydict()
+    assert set(out["id"]) == {i for pair in links for i in pair} and set(out["root"]) == {0}
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, 0.0]), (8, [1.0, 0.0]), (8, [1.0, 0.0]), (None, [1.0, 0.0]), (9, [1.0, 0.0, 0.0]), (10, [-1.0, 0.0]), (11, [3e38, 1.0])]
