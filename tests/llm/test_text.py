@@ -92,6 +92,15 @@ def test_copies_do_not_set_the_band(spark):
     assert kept > 0.8 * len(rows), (kept, len(rows))
 
 
+def test_every_language_has_its_own_model(spark):
+    docs = documents(spark, "sf0.001").where("doc_id < 60")
+    many = docs.crossJoin(spark.range(20)).withColumn("lang", F.concat("lang", "id")).drop("id")
+    alone = {r["doc_id"]: r["log_perplexity"] for r in perplexity.quality(docs.where("lang = 'fr'")).collect()}
+    rows = perplexity.quality(many.repartition(3)).collect()
+    assert len({r["lang_model"] for r in rows}) == many.select("lang").distinct().count() > 2 * perplexity.HELD
+    assert all(r["log_perplexity"] == alone[r["doc_id"]] for r in rows if r["lang_model"].startswith("fr"))
+
+
 def test_em_finds_accuracies():
     rng = np.random.default_rng(4)
     truth, right = rng.random(20_000) < 0.8, [0.95, 0.9, 0.7, 0.6, 0.85]
