@@ -291,13 +291,23 @@ def unprocessed_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unprocessed(s, s.where("sample_index % 3 = 0")).select("sample_id", "sample_index")
 
 
-def frame_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _filled(spark: SparkSession, sf_dir: str, config: MiningConfig) -> DataFrame:
     s = samples(spark, sf_dir)
-    rounds = sampling.generate_rounds(s, MiningConfig(max_iterations=4)).join(s.select("sample_index", "video_path"), "sample_index")
+    rounds = sampling.generate_rounds(s, config).join(s.select("sample_index", "video_path"), "sample_index")
     frames_ = rounds.select("video_path", F.explode("frame_indices").alias("frame_index")).distinct().where("frame_index % 7 <> 0").withColumn("image", F.concat(F.lit("i"), F.col("frame_index").cast("string")))
     return fill.fill_frames(rounds, frames_, "black").select("sample_id", "round_id", F.col("position").cast("long").alias("position"), "frame_index", "image")
 
 
+def frame_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four rounds of each sample, as the SQL twin has them."""
+    return _filled(spark, sf_dir, MiningConfig(max_iterations=4))
+
+
+def frame_fill_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rounds of each sample."""
+    return _filled(spark, sf_dir, CONFIG)
+
+
 def worker_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = samples(spark, sf_dir)
     return s.select("sample_index", ordering.worker_of("sample_index", s.count(), 7).alias("worker"))
@@ -372,6 +382,7 @@ def queries() -> dict[str, Query]:
         "extraction_summary": extraction_summary,
         "unprocessed_samples": unprocessed_samples,
         "frame_fill": frame_fill,
+        "frame_fill_all": frame_fill_all,
         "worker_split": worker_split,
         "results_sorted": results_sorted,
         "config_hash": config_hash,

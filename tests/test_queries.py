@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from sparkreel import queries as catalogue
+from sparkreel.operators import sampling
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
@@ -36,3 +37,15 @@ def test_entry_and_contract(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_all_rounds_are_filled(spark):
+    rounds = sampling.generate_rounds(catalogue.samples(spark, SF), catalogue.CONFIG).select("sample_id", "round_id", "frame_indices").collect()
+    want = []
+    for r in rounds:
+        image = "black"
+        for position, frame in enumerate(r["frame_indices"]):
+            image = f"i{frame}" if frame % 7 else image
+            want.append((r["sample_id"], r["round_id"], position, frame, image))
+    assert max(w[1] for w in want) > 3
+    assert sorted(tuple(r) for r in catalogue.frame_fill_all(spark, SF).collect()) == sorted(want)
