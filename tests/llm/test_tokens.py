@@ -1,4 +1,8 @@
+import base64
 import hashlib
+import random
+import string
+import time
 import zlib
 
 import numpy as np
@@ -21,6 +25,10 @@ def plain_ids(text):
     return np.array(Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids, "<u4")
 
 
+def library():
+    return tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+
+
 def documents(spark):
     return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
 
@@ -149,6 +157,49 @@ def test_bpe_forgets_and_still_encodes(monkeypatch):
     assert [coder.encode([t])[0] for t in ODD * 2] == want * 2 and coder.decode(want) == [t.encode() for t in ODD]
 
 
+@pytest.mark.parametrize("make", [
+    lambda r, n: "".join(r.choices(string.ascii_letters, k=n)), lambda r, n: "a" * n, lambda r, n: "".join(r.choices("ab", k=n)),
+    lambda r, n: "".join(chr(r.randrange(0x20, 0x3000)) for _ in range(n // 4)), lambda r, n: "".join(r.choices("etaoinshr", k=n // 4)),
+])
+def test_bpe_ends_on_a_long_piece(make):
+    """A million letters, or as many bytes, without a break, within a minute."""
+    text = make(random.Random(1), 1_000_000)
+    coder = bpe.DuckBpe(RANKS, public_tokenizers.PATTERN)
+    began = time.time()
+    ids = coder.encode([text])[0]
+    assert coder.decode([ids]) == [text.encode()] and time.time() - began < 60
+    if set(text) != {"a"}:  # the library takes quadratic time there
+        assert np.frombuffer(ids, "<u4").tolist() == library().encode_ordinary(text)
+
+
+def test_bpe_with_ranks_in_any_order(tmp_path, monkeypatch):
+    """Vocabularies in which a pair can rank below its parts, against merging one pair at a time."""
+    def slow(ranks, raw):
+        parts = [bytes([b]) for b in raw]
+        while raw not in ranks:
+            pairs = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+            if not pairs:
+                return [ranks[p] for p in parts]
+            i = min(pairs)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return [ranks[raw]]
+
+    rnd = random.Random(5)
+    for trial in range(6):
+        monkeypatch.setattr(bpe, "CUT_BYTES", 64 if trial % 2 else 4)
+        tokens = [b"a", b"b", b"c"]
+        while len(set(tokens)) < 40:
+            tokens.append(rnd.choice(tokens) + rnd.choice(tokens))
+        long = sorted(set(tokens) - {b"a", b"b", b"c"})
+        rnd.shuffle(long)
+        ranks = {t: i for i, t in enumerate([bytes([b]) for b in range(256)] + long)}
+        path = tmp_path / f"{trial}.tiktoken"
+        path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for t, i in ranks.items()))
+        texts = ["".join(rnd.choices("abc", k=rnd.choice((3, 10, 50, 200)))) for _ in range(40)]
+        got = bpe.DuckBpe(str(path), r"\S+|\s+").encode(texts)
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [slow(ranks, t.encode()) for t in texts]
+
+
 def test_bpe_rows(spark):
     rows = bpe.round_trip(odd_documents(spark), RANKS, public_tokenizers.PATTERN).collect()
     empty = hashlib.sha256(b"").hexdigest()
