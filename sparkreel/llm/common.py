@@ -7,7 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +20,13 @@ _OWN_DIRS: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the setting is missing (tests on one machine) a temporary folder is made.
+    Where the setting is missing, a local master (tests on one machine) gets a temporary folder; on
+    a cluster that would be another folder on each machine, so it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         base = _OWN_DIRS.setdefault(app, "")
         if not base:
@@ -45,6 +50,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(df: DataFrame) -> None:
+    """Remove a table that ``materialise`` wrote, once nothing reads it any more."""
+    for uri in {os.path.dirname(f) for f in df.inputFiles()}:
+        files, path = filesystem(uri)
+        files.delete_dir(path)
+
+
 def partitions(spark: SparkSession) -> int:
     """How many parts a hash of the input is dealt into."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -75,6 +87,40 @@ def publish(uri: str, write: Callable[[pa.NativeFile], None]) -> None:
     files.move(part, path)
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows whose strings in ``column`` take about ``size`` bytes, one row at least."""
+    strings = batch.column(column)
+    if not batch.num_rows:
+        return
+    ends = np.cumsum(np.asarray(pc.binary_length(strings).fill_null(0), np.int64))
+    at = 0
+    while at < batch.num_rows:
+        upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
+        upto = max(upto, at + 1)
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
+def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The words between ASCII white space of all texts, without a Python loop.
+
+    Returns where each text's words start (and the end of the last), the words as numbers, and the
+    distinct words in order of their numbers. A null text has no words; ``lower`` lowers A to Z.
+    """
+    texts = texts.fill_null("")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    coded = lists.flatten().dictionary_encode()
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    codes, distinct = coded.indices.to_numpy(), coded.dictionary
+    blank = pc.index(distinct, "").as_py() if len(distinct) else -1
+    bounds = bounds - bounds[0]
+    if blank >= 0:  # what leading and trailing white space leaves
+        real = codes != blank
+        bounds = np.concatenate(([0], np.cumsum(real)))[bounds]
+        codes = codes[real]
+    return bounds, codes, distinct
+
+
 class Memory(dict):
     """About ``size`` values that were used last: when half of them are new, the older half goes."""
 

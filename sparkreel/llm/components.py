@@ -6,10 +6,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, remove
 
-#: A node's rows are dealt to so many parts when its minimum is joined back.
-SALTS = 8
+#: A node with more pairs than this is a hub: its pairs are dealt out in parts of about so many.
+HUB = 1_000_000
 
 
 def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -28,24 +28,33 @@ def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = up
 
 
-def _with_minimum(pairs: DataFrame, include_self: bool) -> DataFrame:
-    """Each pair (u, v) with m, the least neighbour of u (or u itself).
+def _with_minimum(pairs: DataFrame, include_self: bool, most: int, hub: int) -> DataFrame:
+    """Each pair (u, v) with m, the least neighbour of u (or u itself); ``most``: at most so many pairs.
 
-    A hub's pairs are spread by a salt of v; the per-node minimum, one row a node, is copied to
-    each salt, so no task has to take all pairs of a hub.
+    A node with more than ``hub`` pairs has them spread over salts in proportion to its degree, so
+    that no task takes all pairs of a hub; its minimum, one row, is copied to those salts alone.
     """
     least = F.min(F.least("u", "v") if include_self else F.col("v")).alias("m")
-    minima = pairs.groupBy("u").agg(least).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = pairs.withColumn("salt", F.pmod(F.hash("v"), F.lit(SALTS)).cast("int"))
-    return salted.join(minima, ["u", "salt"]).select("u", "v", "m")
+    if most <= hub:
+        return pairs.join(pairs.groupBy("u").agg(least), "u").select("u", "v", "m")
+    minima = materialise(pairs.groupBy("u").agg(least, F.expr(f"(count(*) + {hub - 1}) div {hub}").alias("salts")), "minima")
+    wide = minima.agg(F.max("salts")).first()[0] or 1
+    plain = pairs.join(minima.where("salts = 1").select("u", "m"), "u").select("u", "v", "m")
+    if wide == 1:
+        return plain
+    # Pairs of hubs alone are dealt by (u, salt); which salts a hub has follows from its own degree.
+    salted = pairs.withColumn("draw", F.pmod(F.xxhash64("v"), F.lit(wide)))
+    copies = minima.where("salts > 1").select("u", "m", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(wide - 1).cast("long"))).alias("draw"))
+    return plain.unionByName(salted.join(copies, ["u", "draw"]).select("u", "v", "m"))
 
 
-def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, hub: int = HUB) -> DataFrame:
     """``(node, component)`` for each node of ``links(a, b)``; component is the least node reachable.
 
     Large-star and small-star steps in turn (Kiveris et al., 2014) until the links no longer
-    change. Each round is written to the shared folder; only a count and a checksum come to
-    the driver. Self links and nulls count for nothing; an empty input gives an empty result.
+    change, which they do for every finite graph. Each round is written to the shared folder and the
+    one before is removed; only a count and a checksum come to the driver. Self links and nulls
+    count for nothing; an empty input gives an empty result.
     """
     edges = materialise(
         links.where("a is not null and b is not null and a != b")
@@ -54,28 +63,23 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
         "links",
     )
     mark = F.struct(F.count("*"), F.bit_xor(F.xxhash64("u", "v")))
-    last = edges.agg(mark.alias("s")).first()[0]
-    for _ in range(rounds):
-        if not last[0]:
-            break
+    last, settled = edges.agg(mark.alias("s")).first()[0], False
+    while last[0] and not settled:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (
-            _with_minimum(both, True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            _with_minimum(both, True, 2 * last[0], hub).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         ).distinct()
-        small = _with_minimum(large, False)
-        edges = materialise(
+        small = _with_minimum(large, False, 2 * last[0], hub)
+        before, edges = edges, materialise(
             small.where("v != m")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(small.select("u", F.col("m").alias("v")))
             .distinct(),
             "links",
         )
+        remove(before)
         now = edges.agg(mark.alias("s")).first()[0]
-        if now == last:
-            break
-        last = now
-    else:
-        raise RuntimeError("components did not settle; raise rounds")
+        last, settled = now, now == last
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))

@@ -14,16 +14,25 @@ import datetime
 import hashlib
 import hmac
 import re
+import secrets
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_rows
 
 ROUNDS = 8
-KEY = b"replace this key"
+#: The session setting that holds the key, as text.
+KEY_SETTING = "sparkreel.pii.key"
+_OWN_KEYS: dict[str, bytes] = {}
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The key of ``KEY_SETTING``; where none is set, a random one that lasts as long as the application."""
+    given = spark.conf.get(KEY_SETTING, None)
+    return given.encode() if given else _OWN_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
 
 
 def feistel(value: int, size: int, key: bytes, tweak: bytes, back: bool = False) -> int:
@@ -234,7 +243,7 @@ def _replace_run(run: str, key: bytes, back: bool) -> tuple[str, int]:
     return "".join(out), count
 
 
-def pseudonymise(text: str | None, key: bytes = KEY, back: bool = False) -> tuple[str | None, int]:
+def pseudonymise(text: str | None, key: bytes, back: bool = False) -> tuple[str | None, int]:
     """The text with validated values replaced, and how many were; ``back`` undoes it."""
     if not text or not _HINT.search(text):
         return text, 0
@@ -264,8 +273,8 @@ def _number_before(text: str, space: int, floor: int) -> bool:
     return space > floor and (text[space - 1].isdigit() or text[space - 1] == ")")
 
 
-def pseudonymise_documents(docs: DataFrame, key: bytes = KEY, text_col: str = "text", count_col: str | None = None) -> DataFrame:
-    """``docs`` with ``text_col`` pseudonymised; with ``count_col``, a column of how many values were replaced.
+def pseudonymise_documents(docs: DataFrame, key: bytes, text_col: str = "text", count_col: str | None = None) -> DataFrame:
+    """``docs`` with ``text_col`` pseudonymised under ``key``; with ``count_col``, a column of how many values were replaced.
 
     All rows and other columns stay as they are (a null text stays null, an empty one empty, repeated
     rows repeat). Each row is on its own: nothing is shuffled, and a batch is all that a task holds.

@@ -33,7 +33,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise_documents(docs, count_col="n_replaced")
+    return pii.pseudonymise_documents(docs, pii.session_key(spark), count_col="n_replaced")
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ def test_stages(spark):
             assert now == {r["doc_id"] for r in groups.where("doc_id = component_id").collect()}
             assert simhash.near_duplicates(docs).where("doc_id <> component_id").count() == 0
         if name == "personal_data":
-            assert {r["doc_id"]: r["text"] for r in docs.collect()} == {r["doc_id"]: pii.pseudonymise(r["text"])[0] for r in before.collect()}
+            assert {r["doc_id"]: r["text"] for r in docs.collect()} == {r["doc_id"]: pii.pseudonymise(r["text"], pii.session_key(spark))[0] for r in before.collect()}
         ids = now
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r["doc_id"] for r in packed.select("doc_id").collect()} == ids
