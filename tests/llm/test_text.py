@@ -7,7 +7,9 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from helpers import DOCS, odd_documents
 from pyspark.sql import functions as F
 
@@ -200,20 +202,100 @@ def test_em_finds_accuracies():
     rng = np.random.default_rng(4)
     truth, right = rng.random(20_000) < 0.8, [0.95, 0.9, 0.7, 0.6, 0.85]
     votes = np.array([np.where(rng.random(len(truth)) < r, truth, ~truth).astype(int) for r in right])
-    votes[:, :][rng.random(votes.shape) < 0.2] = 2
+    votes[rng.random(votes.shape) < 0.2] = 2
+    votes[rng.random(votes.shape) < 0.1] = 3
     patterns = collections.Counter("".join(map(str, v)) for v in votes.T.tolist())
-    got, prior = weak_labels.fit_labellers(patterns)
-    assert abs(prior - 0.8) < 0.03 and np.abs(got - np.array([right, right])).max() < 0.06
-    assert weak_labels.posterior("11111", got, prior) > 0.99 > 0.01 > weak_labels.posterior("00000", got, prior)
+    rates, prior = weak_labels.fit_labellers(patterns)
+    assert abs(prior - 0.8) < 0.03 and np.abs(weak_labels.accuracies(rates) - np.array([right, right])).max() < 0.06
+    assert np.abs(rates[:, :, 2] - 0.2).max() < 0.03
+    assert weak_labels.posterior("11111", rates, prior) > 0.99 > 0.01 > weak_labels.posterior("00000", rates, prior)
+    assert math.isclose(weak_labels.posterior("33333", rates, prior), prior)
+
+
+def test_em_equals_a_plain_version():
+    patterns = {"110": 40, "112": 25, "001": 9, "023": 4, "222": 3, "313": 2}
+    votes = [[int(c) for c in p] for p, n in sorted(patterns.items()) for _ in range(n)]
+    p, prior = [0.1 if 0 in v else 0.9 for v in votes], 0.5
+    for _ in range(200):
+        rates = [[[sum((q if c else 1 - q) * (v[k] == x) for v, q in zip(votes, p)) + 0.1 for x in range(3)] for k in range(3)] for c in (0, 1)]
+        rates = [[[x / sum(r) for x in r] for r in side] for side in rates]
+        prior = (sum(p) + 1) / (len(votes) + 2)
+        chance = lambda v, c: (prior if c else 1 - prior) * math.prod(rates[c][k][x] for k, x in enumerate(v) if x < 3)
+        p = [chance(v, 1) / (chance(v, 1) + chance(v, 0)) for v in votes]
+    got, share = weak_labels.fit_labellers(patterns)
+    assert np.allclose(got, rates, atol=1e-6) and abs(share - prior) < 1e-6
+    assert all(abs(weak_labels.posterior("".join(map(str, v)), got, share) - q) < 1e-6 for v, q in zip(votes, p))
+
+
+SHORT_TEXTS = ["", None, " ", "One", "the Cat cat cat!! the | § 12", "é" * 300 + " x " + "y" * 5000, "Was Was Was of, of, of, Was. " * 60, "no words here but # and $ <b>"]
+
+
+def test_statistics_equal_plain_ones():
+    got = weak_labels.Texts(pa.array(["skipped", *SHORT_TEXTS], pa.string()).slice(1)).statistics()
+    for i, text in enumerate(SHORT_TEXTS):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        n = max(1, len(words))
+        letters, capitals = len(re.findall(r"[A-Za-zé]", text or "")), len(re.findall("[A-Z]", text or ""))
+        share = lambda test: sum(map(test, words)) / n
+        want = {
+            "words": len(words), "symbols": len(re.findall(r"[#*$%&|<>]", text or "")) / n, "repeats": sum(a == b for a, b in zip(words, words[1:])) / n,
+            "distinct": sum(len(set(words[k : k + 100])) for k in range(0, len(words), 100)) / n, "capitals": capitals / max(1, letters),
+            "common": share(lambda w: w.lower().rstrip(".,;:!?") in weak_labels.COMMON), "shouts": share(lambda w: w.endswith(("!!", "|"))),
+            "wordless": share(lambda w: not any(c.isalpha() for c in w)), "terminals": share(lambda w: w[-1] in ".,;:!?"),
+        }
+        assert all(abs(got[k][i] - v) < 1e-12 for k, v in want.items()), (text and text[:20], {k: (got[k][i], v) for k, v in want.items()})
+
+
+def test_scorer_equals_a_plain_version():
+    texts = ["a b c a", "", None, "good words are here", "zz zz q", "é x"]
+    t = weak_labels.Texts(pa.array(texts, pa.string()))
+    slot = lambda x: (x * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 64 - 14
+    rng = np.random.default_rng(2)
+    weights = rng.normal(size=weak_labels.DIMS + 1)
+    for i, text in enumerate(texts):
+        words, raw = (text or "").lower().encode().split(), (text or "").encode()
+        names = [xxhash.xxh64_intdigest(w) for w in words]
+        pairs = [(a * 3 + (b ^ 0x5851F42D4C957F2D)) & (1 << 64) - 1 for a, b in zip(names, names[1:])]
+        grams = [raw[k] | raw[k + 1] << 8 | raw[k + 2] << 16 | 1 << 40 for k in range(len(raw) - 2)]
+        want = collections.Counter()
+        for kind in (names, pairs, grams):
+            for x in kind:
+                want[slot(x)] += 1 / len(kind)
+        slots, values = t.vectors()[i]
+        assert dict(zip(slots.tolist(), values.tolist())) == pytest.approx(dict(want), rel=1e-6)
+        z = weights[-1] + sum(weights[k] * v for k, v in want.items())
+        assert t.scores(weights)[i] == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-9)
+    labels = np.array([0.9, 0.5, 0.5, 0.8, 0.1, 0.6])
+    dense = np.zeros((len(texts), weak_labels.DIMS + 1))
+    dense[:, -1] = 1
+    for i, (slots, values) in enumerate(t.vectors()):
+        dense[i, slots] = values
+    weight = labels / labels.mean() + (1 - labels) / (1 - labels.mean())
+    weight /= weight.sum()
+    w, m, s = (np.zeros(weak_labels.DIMS + 1) for _ in range(3))
+    for k in range(1, 21):
+        g = dense.T @ ((1 / (1 + np.exp(-dense @ w)) - labels) * weight) + 1e-6 * w
+        m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
+        w = w - weak_labels.RATE * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.999**k)) + 1e-8)
+    assert np.allclose(weak_labels.fit_scorer(t.vectors(), labels, 20), w, atol=1e-6)
 
 
 def test_classifier_on_held_labels(spark):
-    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    docs = documents(spark, "sf0.1")
+    rows = {r["doc_id"]: r for r in weak_labels.classify(docs).collect()}
+    kept = {q: np.mean([rows[i]["kept"] for i, x in labels.items() if x == q]) for q in (0, 1)}
+    assert kept[1] > 0.98 and kept[0] < 0.2
+    # It reads the content: it isn't the posterior said again.
+    assert any(r["kept"] != (r["weak_posterior"] >= 0.5) for r in rows.values())
+
+
+def test_classifier_is_the_same_for_any_partitions(spark):
     docs = documents(spark, "sf0.01")
-    rows = {r["doc_id"]: r["kept"] for r in weak_labels.classify(docs).collect()}
-    kept = {q: np.mean([rows[i] for i, x in labels.items() if x == q]) for q in (0, 1)}
-    assert kept[1] > 0.98 and kept[0] < 0.4
-    assert {r["doc_id"] for r in weak_labels.filter_documents(docs).collect()} == {i for i, k in rows.items() if k}
+    results = [{r["doc_id"]: (r["score"], r["kept"]) for r in weak_labels.classify(docs.repartition(n, "source")).collect()} for n in (1, 7, 61)]
+    assert results[0].keys() == results[1].keys() == results[2].keys()
+    assert all(abs(results[0][i][0] - r[i][0]) < 1e-9 and results[0][i][1] == r[i][1] for r in results[1:] for i in r)
+    assert {r["doc_id"] for r in weak_labels.filter_documents(docs).collect()} == {i for i, (_, k) in results[0].items() if k}
 
 
 def test_classifier_odd_rows(spark):
