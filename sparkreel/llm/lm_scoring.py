@@ -1,14 +1,17 @@
-"""Text scores under a bigram model with deleted interpolation.
-
-Maximum-likelihood estimates of the word after its predecessor, of the word alone, and a uniform
-share are mixed with weights that depend on how often the predecessor occurs (buckets of powers of
-two). Expectation maximisation learns the weights on counts deleted from the training documents
-(a twentieth of them), so that the estimates are judged on text they have not seen.
-
-The counts grow with the corpus and are never broadcast. Documents are dealt to blocks by hash; a
-block sends each of its distinct n-grams once, as sorted arrays of 64-bit hashes with counts, to the
-shard of the hash; the shard adds them up and answers each block with the totals of what it asked
-for, in the same order. A frequent n-gram is one entry a block. A block then scores its documents.
+"""Text scores under an n-gram model with deleted interpolation.
+
+Maximum-likelihood estimates of a word after its ``order - 1`` predecessors, after fewer of them and
+alone, and a uniform share are mixed from the longest history down, with weights that depend on how
+often the history occurs (buckets of powers of two). Expectation maximisation learns the weights on
+counts deleted from the training documents (a twentieth of them), so that the estimates are judged
+on text they have not seen.
+
+The counts grow with the corpus and are never broadcast. Each task cuts its documents into blocks,
+which are written once. A block sends its distinct n-grams as sorted runs of 64-bit hashes with
+partial counts, one run for each range of hashes, through a shuffle by range; a range adds them up
+and its totals go back, through a shuffle by block, in the order in which they were asked for. There
+are as many ranges as blocks, so neither a run nor a range grows with the corpus, and a frequent n-gram is one entry
+a block. A block then scores its documents.
 """
 
 from __future__ import annotations
@@ -17,19 +20,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, materialise, partitions
+from .common import map_rows, materialise, partitions, slices, split_words
 
+ORDER = 3
 #: Training documents whose counts are deleted while the weights are learnt: one in so many.
 DELETED_ONE_IN = 20
-BUCKETS = 33
-#: Steps of the log2 ratio by which held-out tokens are gathered for the weights.
-STEPS = 4
-_NONE = -(1 << 20)
+#: Buckets of a history's count: 0, then one for each power of two of a 63-bit count.
+BUCKETS = 64
+#: Bytes of text in a block, about; a longer document is a block of its own.
+BLOCK_BYTES = 16 << 20
+#: EM stops when no weight moves by more than this, or after so many rounds.
+TOLERANCE, ROUNDS = 1e-3, 60
 
 
 def pack_ints(x: np.ndarray) -> bytes:
@@ -64,212 +72,235 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _dealt(docs: DataFrame, blocks: int, id_col: str, text_col: str, deleted_only: bool = False) -> DataFrame:
-    """``(block, docs)``: batches of documents in compressed Arrow, by block."""
+def cut_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(block, deleted, docs)``: documents in compressed Arrow, deleted ones in blocks of their own. Nothing is shuffled."""
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"),
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).select(
         "doc_id",
         "text",
         (crc % 5 == 1).alias("held_out"),
         ((crc % 5 != 1) & (F.pmod(F.xxhash64("doc_id", F.lit("deleted")), F.lit(DELETED_ONE_IN)) == 0)).alias("deleted"),
     )
-    if deleted_only:
-        rows = rows.where("deleted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze, number = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId() << 32
+        waiting: dict[bool, list[pa.RecordBatch]] = {False: [], True: []}
+        size = {False: 0, True: 0}
+
+        def out(kind: bool) -> pa.RecordBatch:
+            nonlocal number
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, waiting[kind][0].schema) as stream:
+                for batch in waiting[kind]:
+                    stream.write_batch(batch)
+            number += 1
+            waiting[kind], size[kind] = [], 0
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([kind]), pa.array([squeeze.compress(sink.getvalue().to_pybytes())], pa.binary())], ["block", "deleted", "docs"])
+
         for batch in batches:
-            block = batch.column(0).to_numpy()
-            order = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.diff(block[order])) + 1
-            for part in np.split(order, cuts) if len(order) else []:
-                own = pa.RecordBatch.from_arrays(batch.take(pa.array(part)).columns[1:], batch.schema.names[1:])
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, own.schema) as out:
-                    out.write_batch(own)
-                yield pa.RecordBatch.from_arrays([pa.array([block[part[0]]], pa.int32()), pa.array([squeeze.compress(sink.getvalue().to_pybytes())], pa.binary())], ["block", "docs"])
+            for part in slices(batch, 1, BLOCK_BYTES // 8):
+                for kind in (False, True):
+                    own = part.filter(pc.equal(part.column(3), kind)).select([0, 1, 2])
+                    if own.num_rows:
+                        waiting[kind].append(own)
+                        size[kind] += own.column(1).nbytes
+                        if size[kind] >= BLOCK_BYTES:
+                            yield out(kind)
+        for kind in (False, True):
+            if waiting[kind]:
+                yield out(kind)
 
-    return map_rows(rows, "block int, docs binary", run)
+    return map_rows(rows, "block long, deleted boolean, docs binary", run)
 
 
 class Block:
-    """A block's documents as numbers: tokens, their predecessors, and the distinct n-grams."""
-
-    def __init__(self, blobs: list[bytes]):
-        unzip, numbers = zstandard.ZstdDecompressor(), {b"": 0}  # 0 is the end, which also stands for the start
-        self.ids, self.held, self.deleted, tokens, sizes = [], [], [], [], []
-        for blob in blobs:
-            with pa.ipc.open_stream(unzip.decompress(blob)) as stream:
-                for batch in stream:
-                    self.ids += batch.column(0).to_pylist()
-                    self.held += batch.column(2).to_pylist()
-                    self.deleted += batch.column(3).to_pylist()
-                    for text in batch.column(1):
-                        words = (text.as_py() or "").encode().lower().split()
-                        tokens.append(np.array([numbers.setdefault(w, len(numbers)) for w in words] + [0], np.int64))
-                        sizes.append(len(words) + 1)
-        self.sizes = np.array(sizes, np.int64)
-        self.token = np.concatenate(tokens) if tokens else np.empty(0, np.int64)
-        self.before = np.append(0, self.token[:-1])[: len(self.token)]  # the token before a document's first is an end
-        self.doc = np.repeat(np.arange(len(sizes)), self.sizes)
-        word_hash = np.array([xxhash.xxh64_intdigest(w) for w in numbers], np.uint64)
-        v = len(numbers)
-        pairs, self.pair = np.unique(self.before * v + self.token, return_inverse=True)
-        self.kinds = []  # hashes in ascending order, and each token's place among them
-        for kind, (own, place) in enumerate(((_mix(word_hash + np.uint64(1)), self.token), (_mix(_mix(word_hash[pairs // v] + np.uint64(2)) + word_hash[pairs % v]), self.pair))):
-            order = np.argsort(own)
-            back = np.empty(len(order), np.int64)
-            back[order] = np.arange(len(order))
-            self.kinds.append((own[order], back[place], back))
-
-    def counts(self, kind: int, flag: list[bool]) -> np.ndarray:
-        hashes, place, _ = self.kinds[kind]
-        return np.bincount(place[np.array(flag, bool)[self.doc]], minlength=len(hashes))
-
-    def context_place(self) -> np.ndarray:
-        """Each token's predecessor among the single words."""
-        return self.kinds[0][2][self.before]
-
-
-def _shard_cuts(hashes: np.ndarray, shards: int) -> np.ndarray:
-    shard = ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-    return np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
-
-
-_ASK = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("kind", pa.int32()), ("hashes", pa.binary()), ("trained", pa.binary()), ("deleted", pa.binary())])
-_ANSWER = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("kind", pa.int32()), ("what", pa.string()), ("hashes", pa.binary()), ("counts", pa.binary()), ("n_all", pa.int64()), ("v_all", pa.int64()), ("n_kept", pa.int64()), ("v_kept", pa.int64())])
-
-
-def _ask(shards: int):
-    def run(table: pa.Table) -> pa.Table:
-        block, rows = Block(table.column("docs").to_pylist()), []
-        train = [not h for h in block.held]
-        for kind, (hashes, _, _) in enumerate(block.kinds):
-            trained, deleted = block.counts(kind, train), block.counts(kind, block.deleted)
-            cuts = _shard_cuts(hashes, shards)
-            for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-                if a < b:
-                    rows.append({"shard": s, "block": table.column("block")[0].as_py(), "kind": kind, "hashes": pack_sorted(hashes[a:b]), "trained": pack_ints(trained[a:b]), "deleted": pack_ints(deleted[a:b])})
-        return pa.Table.from_pylist(rows, _ASK)
+    """A block's documents as numbers: for each order the distinct n-grams and each token's place among them."""
+
+    def __init__(self, data: bytes, order: int):
+        with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(data)) as stream:
+            table = stream.read_all().combine_chunks()
+        self.ids, self.held = table.column("doc_id").combine_chunks(), table.column("held_out").to_numpy()
+        bounds, codes, distinct = split_words(table.column("text").combine_chunks(), lower=True)
+        names = np.array([xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()] + [xxhash.xxh64_intdigest(b"")], np.uint64)
+        self.sizes = np.diff(bounds) + 1
+        self.ends = np.cumsum(self.sizes) - 1  # the last token of a document is its end, which also stands for what precedes the first
+        self.starts = self.ends - self.sizes + 1
+        word = np.empty(int(self.sizes.sum()), np.uint64)
+        word[self.ends] = names[-1]
+        inside = np.ones(len(word), bool)
+        inside[self.ends] = False
+        word[inside] = names[codes]
+        self.kinds, gram = [], np.zeros(len(word), np.uint64)
+        for k in range(1, order + 1):
+            before = np.concatenate((np.zeros(1, np.uint64), gram[:-1]))[: len(word)]
+            before[self.starts] = np.uint64(k)  # no other history looks like the one before a document
+            gram = _mix(word + np.uint64(1)) if k == 1 else _mix(_mix(before + np.uint64(k)) + word)
+            hashes, place = np.unique(gram, return_inverse=True)
+            self.kinds.append((hashes, place))
+
+    def trained(self, kind: int) -> np.ndarray:
+        """How often each n-gram occurs in training documents."""
+        hashes, place = self.kinds[kind]
+        return np.bincount(place, np.repeat(~self.held, self.sizes), len(hashes)).astype(np.int64)
+
+    def estimates(self, counts: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Each token's count and the count of its history, from order 1 up; order 1 has no history."""
+        own = [c[place] for c, (_, place) in zip(counts, self.kinds)]
+        histories = []
+        for lower in own[:-1]:
+            before = np.concatenate(([0], lower[:-1]))[: len(lower)]
+            before[self.starts] = own[0][self.ends]  # as many documents begin as end
+            histories.append(before)
+        return own, histories
+
+
+def _range_cuts(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    at = ((hashes >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    return np.searchsorted(at, np.arange(ranges + 1, dtype=np.uint64))
+
+
+def _ask(ranges: int, order: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, deleted, data in zip(*(c.to_pylist() for c in batch.columns)):
+                block = Block(data, order)
+                for kind, (hashes, _) in enumerate(block.kinds):
+                    trained, cuts = block.trained(kind), _range_cuts(hashes, ranges).tolist()
+                    rows = [(s, number, kind, deleted, pack_sorted(hashes[a:b]), pack_ints(trained[a:b])) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
+                    types = (pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["range", "block", "kind", "deleted", "hashes", "trained"])
 
     return run
 
 
+_ANSWER = "block long, range int, kind int, counts binary, kept binary, n_all long, v_all long, n_kept long, v_kept long"
+
+
 def _answer(table: pa.Table) -> pa.Table:
-    """Totals of a shard, for each block in the order in which it asked."""
-    rows, shard = [], table.column("shard")[0].as_py()
-    kinds = table.column("kind").to_pylist()
-    for kind in (0, 1):
-        at = [i for i, k in enumerate(kinds) if k == kind]
-        if not at:
-            continue
+    """Totals of a range, for each block in the order in which it asked; without the deleted documents too for their blocks."""
+    rows, number = [], table.column("range")[0].as_py()
+    kinds, gone = table.column("kind").to_numpy(), table.column("deleted").to_pylist()
+    for kind in np.unique(kinds).tolist():
+        at = np.flatnonzero(kinds == kind).tolist()
         asked = [unpack_sorted(table.column("hashes")[i].as_py()) for i in at]
-        deleted = [unpack_ints(table.column("deleted")[i].as_py()).astype(np.int64) for i in at]
+        trained = [unpack_ints(table.column("trained")[i].as_py()).astype(np.int64) for i in at]
         every, place = np.unique(np.concatenate(asked), return_inverse=True)
-        trained = np.bincount(place, np.concatenate([unpack_ints(table.column("trained")[i].as_py()) for i in at]), len(every)).astype(np.int64)
-        kept = trained - np.bincount(place, np.concatenate(deleted), len(every)).astype(np.int64)
-        base = {"shard": shard, "kind": kind, "n_all": 0, "v_all": 0, "n_kept": 0, "v_kept": 0, "hashes": b"", "counts": b"", "what": "all"}
+        total = np.bincount(place, np.concatenate(trained), len(every)).astype(np.int64)
+        minus = np.concatenate([t * gone[i] for t, i in zip(trained, at)])
+        kept = total - np.bincount(place, minus, len(every)).astype(np.int64)
         start = 0
-        for i, hashes, gone in zip(at, asked, deleted):
+        for i, hashes in zip(at, asked):
             own = place[start : start + len(hashes)]
             start += len(hashes)
-            block = table.column("block")[i].as_py()
-            rows.append(base | {"block": block, "counts": pack_ints(trained[own])})
-            if (some := np.flatnonzero(gone)).size:
-                rows.append(base | {"block": block, "what": "kept", "hashes": pack_sorted(hashes[some]), "counts": pack_ints(kept[own[some]])})
+            rows.append((table.column("block")[i].as_py(), number, kind, pack_ints(total[own]), pack_ints(kept[own]) if gone[i] else b"", 0, 0, 0, 0))
         if kind == 0:
-            rows.append(base | {"block": -1, "what": "sums", "n_all": int(trained.sum()), "v_all": int(np.count_nonzero(trained)), "n_kept": int(kept.sum()), "v_kept": int(np.count_nonzero(kept))})
-    return pa.Table.from_pylist(rows, _ANSWER)
+            rows.append((-1, number, kind, b"", b"", int(total.sum()), int(np.count_nonzero(total)), int(kept.sum()), int(np.count_nonzero(kept))))
+    types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 4)
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [f.split()[0] for f in _ANSWER.split(", ")])
 
 
-def _bucket(count: np.ndarray) -> np.ndarray:
-    """0 for a predecessor not seen, else one for each power of two."""
-    return np.where(count > 0, 1 + np.floor(np.log2(np.maximum(count, 1))), 0).astype(np.int64)
+def _answers(block: Block, table: pa.Table, column: str) -> list[np.ndarray]:
+    """The answered counts of a block's n-grams, order by order."""
+    kinds, ranges, out = table.column("kind").to_numpy(), table.column("range").to_numpy(), []
+    for kind, (hashes, _) in enumerate(block.kinds):
+        at = np.flatnonzero(kinds == kind)
+        at = at[np.argsort(ranges[at])].tolist()
+        out.append(np.concatenate([np.empty(0, np.int64)] + [unpack_ints(table.column(column)[i].as_py()).astype(np.int64) for i in at]))
+        if len(out[-1]) != len(hashes):
+            raise RuntimeError("a block has other n-grams than when it asked")
+    return out
 
 
-def _deleted_tokens(n: int, v: int):
-    """How often held-out tokens of each bucket have which ratios of the estimates to the uniform share."""
+def bucket(count: np.ndarray) -> np.ndarray:
+    """0 for a history not seen, else one for each power of two."""
+    return np.where(count > 0, np.frexp(np.maximum(count, 1).astype(np.float64))[1], 0).astype(np.int64)
+
+
+def mixed(own: list[np.ndarray], histories: list[np.ndarray], weights: np.ndarray, n: int, v: int) -> np.ndarray:
+    """Each token's probability; ``weights``: of an order's own estimate, by (order - 1, bucket)."""
+    p = np.full(len(own[0]), 1 / (v + 1))
+    if n:
+        p = weights[0, 0] * own[0] / n + (1 - weights[0, 0]) * p
+        for k, (count, history) in enumerate(zip(own[1:], histories), 1):
+            w = weights[k, bucket(history)]
+            p = w * count / np.maximum(history, 1) + (1 - w) * p
+    return p
+
+
+def _deleted_tokens(order: int):
+    """How many held-out tokens have which counts, the token's and its history's at each order."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        block, counts = Block(left.column("docs").to_pylist()), []
-        for kind, (hashes, _, _) in enumerate(block.kinds):
-            at = [i for i, k in enumerate(right.column("kind").to_pylist()) if k == kind]
-            known = np.concatenate([np.empty(0, np.uint64)] + [unpack_sorted(right.column("hashes")[i].as_py()) for i in at])
-            value = np.concatenate([np.empty(0, np.int64)] + [unpack_ints(right.column("counts")[i].as_py()).astype(np.int64) for i in at])
-            order = np.argsort(known)
-            known, value = known[order], value[order]
-            place = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-            counts.append(np.where(known[place] == hashes, value[place], 0) if len(known) else np.zeros(len(hashes), np.int64))
-        context = counts[0][block.context_place()]
-        single, pair = counts[0][block.kinds[0][1]], counts[1][block.kinds[1][1]]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            q1 = np.where(single > 0, np.round(STEPS * np.log2(single * (v + 1) / max(n, 1))), _NONE)
-            q2 = np.where(pair > 0, np.round(STEPS * np.log2(pair / np.maximum(context, 1) * (v + 1))), _NONE)
-        rows, times = np.unique(np.stack((_bucket(context), q2.astype(np.int64), q1.astype(np.int64)), axis=1), axis=0, return_counts=True)
-        return pa.table({"bucket": rows[:, 0], "q2": rows[:, 1], "q1": rows[:, 2], "n": times})
+        found = []
+        for data in left.column("docs"):
+            block = Block(data.as_py(), order)
+            own, histories = block.estimates(_answers(block, right, "kept"))
+            found.append(np.stack((*own, *histories), axis=1))
+        rows, times = np.unique(np.concatenate(found), axis=0, return_counts=True) if found else (np.empty((0, 2 * order - 1), np.int64), np.empty(0, np.int64))
+        return pa.table([pa.array(c) for c in rows.T] + [pa.array(times)], [*(f"c{k}" for k in range(order)), *(f"h{k}" for k in range(1, order)), "n"])
 
     return run
 
 
-def fit_weights(rows: list[tuple[int, int, int, int]], rounds: int = 200) -> np.ndarray:
-    """Weights of (pair, single, uniform) for each bucket, by EM; buckets without tokens take their neighbour's."""
-    weights = np.tile([0.4, 0.4, 0.2], (BUCKETS, 1))
-    if rows:
-        data = np.array(rows, np.int64)
-        p = np.ones((len(data), 3))
-        for k in (1, 2):
-            p[:, k - 1] = np.where(data[:, k] == _NONE, 0.0, np.exp2(data[:, k] / STEPS))
-        bucket, times = np.minimum(data[:, 0], BUCKETS - 1), data[:, 3]
-        total = np.bincount(bucket, times, BUCKETS)
-        for _ in range(rounds):
-            share = weights[bucket] * p
-            share *= (times / share.sum(axis=1))[:, None]
-            # One token spread evenly keeps every weight above zero.
-            now = np.stack([np.bincount(bucket, share[:, k], BUCKETS) for k in range(3)], axis=1) + 1 / 3
-            now /= (total + 1)[:, None]
-            done = np.abs(now - weights).max() < 1e-7
-            weights = now
-            if done:
-                break
-        seen = np.flatnonzero(total)
-        for b in range(BUCKETS):
-            if not total[b]:
-                weights[b] = weights[seen[np.abs(seen - b).argmin()]]
-    weights[0] /= weights[0].sum()
-    weights[0, 0] = 0.0  # nothing follows a predecessor that was not seen
-    weights[0] /= weights[0].sum()
-    return weights
-
-
-def _score(n: int, v: int, weights: np.ndarray):
+def fit_weights(tokens: DataFrame, order: int, n: int, v: int) -> np.ndarray:
+    """Weights by (order - 1, bucket) from ``tokens(c0.., h1.., n)``, by EM; every round is one aggregate.
+
+    A token is made by the estimate of its longest history with that history's weight, or else
+    handed down to the next shorter one. Histories that were never seen hand everything down; a
+    bucket without tokens takes its nearest neighbour's weight.
+    """
+    weights = np.full((order, BUCKETS), 0.5)
+    seen: list[set[int]] = [set() for _ in range(order)]
+    count = lambda c: F.col(c).cast("double")
+    spread = [F.lit(0)] + [F.when(F.col(f"h{k}") > 0, F.length(F.bin(f"h{k}"))).otherwise(0) for k in range(1, order)]
+    shares = [count("c0") / max(n, 1)] + [F.when(F.col(f"h{k}") > 0, count(f"c{k}") / count(f"h{k}")).otherwise(0.0) for k in range(1, order)]
+    rows = materialise(tokens.select("n", *[x.alias(f"b{k}") for k, x in enumerate(spread)], *[x.alias(f"p{k}") for k, x in enumerate(shares)]).groupBy([f"b{k}" for k in range(order)] + [f"p{k}" for k in range(order)]).agg(F.sum("n").alias("n")), "tokens")
+    weights[1:, 0] = 0.0
+    for _ in range(ROUNDS):
+        w = [F.element_at(F.array(*map(F.lit, map(float, weights[k]))), F.col(f"b{k}") + 1) for k in range(order)]
+        p = [F.lit(1 / (v + 1))]
+        for k in range(order):
+            p.append(w[k] * F.col(f"p{k}") + (1 - w[k]) * p[-1])
+        reach, parts = F.col("n").cast("double"), []
+        for k in reversed(range(order)):
+            made = reach * w[k] * F.col(f"p{k}") / p[k + 1]
+            parts.append(F.struct(F.lit(k).alias("k"), F.col(f"b{k}").alias("b"), made.alias("made"), reach.alias("reach")))
+            reach = reach - made
+        sums = rows.select(F.explode(F.array(*parts)).alias("x")).groupBy("x.k", "x.b").agg(F.sum("x.made"), F.sum("x.reach")).collect()  # order * BUCKETS rows
+        last = weights.copy()
+        for k, b, made, reached in sums:
+            if k == 0 or b:
+                weights[k, b] = (made + 0.5) / (reached + 1)  # one token spread evenly keeps both ways open
+                seen[k].add(b)
+        if np.abs(weights - last).max() < TOLERANCE:
+            break
+    for k in range(order):
+        known = np.array(sorted(seen[k]))
+        for b in range(1 if k else 0, BUCKETS):
+            if len(known) and b not in seen[k]:
+                weights[k, b] = weights[k, known[np.abs(known - b).argmin()]]
+    return weights.round(9)  # so that the order of sums doesn't show
+
+
+def _score(n: int, v: int, weights: np.ndarray, order: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        block, counts = Block(left.column("docs").to_pylist()), []
-        kinds, shards = right.column("kind").to_numpy(), right.column("shard").to_numpy()
-        for kind in (0, 1):
-            at = np.flatnonzero(kinds == kind)
-            at = at[np.argsort(shards[at])]
-            counts.append(np.concatenate([unpack_ints(right.column("counts")[int(i)].as_py()) for i in at]).astype(np.int64))
-            if len(counts[kind]) != len(block.kinds[kind][0]):
-                raise RuntimeError("a block has other n-grams than when it asked; is the input deterministic?")
-        context = counts[0][block.context_place()]
-        single, pair = counts[0][block.kinds[0][1]], counts[1][block.kinds[1][1]]
-        w = weights[np.minimum(_bucket(context), BUCKETS - 1)]
-        p = w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * single / max(n, 1) + w[:, 2] / (v + 1)
-        if not n:
-            p = np.full(len(p), 1 / (v + 1))
-        docs = len(block.ids)
-        add = lambda x: np.bincount(block.doc, x, docs)
-        return pa.table({
-            "doc_id": pa.array(block.ids, pa.int64()), "held_out": pa.array(block.held, pa.bool_()), "n_tokens": block.sizes,
-            "n_known": add(single > 0).astype(np.int64), "train_tokens": np.full(docs, n, np.int64),
-            "base_score": add(np.log10((single + 0.5) / (n + 0.5 * (v + 1)))), "score": add(np.log10(p)),
-        })
+        out = []
+        for data in left.column("docs"):
+            block = Block(data.as_py(), order)
+            own, histories = block.estimates(_answers(block, right, "counts"))
+            add = lambda x: np.add.reduceat(x, block.starts)  # noqa: E731, B023
+            p = mixed(own, histories, weights, n, v)
+            out.append(pa.table({
+                "doc_id": block.ids, "held_out": pa.array(block.held, pa.bool_()), "n_tokens": block.sizes,
+                "n_known": add((own[0] > 0).astype(np.int64)), "train_tokens": np.full(len(block.sizes), n, np.int64),
+                "base_score": add(np.log10((own[0] + 0.5) / (n + 0.5 * (v + 1)))), "score": add(np.log10(p)),
+            }))
+        return pa.concat_tables(out)
 
     return run
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, one row per document.
 
     Documents with crc32(doc_id as text) mod 5 = 1 are held out: scored, never learnt from; a null
@@ -277,22 +308,17 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     repeat, and count as often. Without training documents the score is that of the uniform share.
     An empty table gives no rows; extra columns are ignored. Log10 probabilities.
     """
-    spark = docs.sparkSession
-    blocks = shards = partitions(spark)
-    asked = _dealt(docs, blocks, id_col, text_col).groupBy("block").applyInArrow(_ask(shards), "shard int, block int, kind int, hashes binary, trained binary, deleted binary")
-    answers = asked.groupBy("shard").applyInArrow(_answer, "block int, shard int, kind int, what string, hashes binary, counts binary, n_all long, v_all long, n_kept long, v_kept long")
-    answers = materialise(answers, "answers")
-    sums = answers.where("what = 'sums'").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_all", "v_all", "n_kept", "v_kept")]).first()
-    n, v, n_kept, v_kept = map(int, sums)
-    part = _dealt(docs, blocks, id_col, text_col, deleted_only=True).groupBy("block")
-    kept = answers.where("what = 'kept'").select("block", "kind", "hashes", "counts").groupBy("block")
-    tokens = part.cogroup(kept).applyInArrow(_deleted_tokens(n_kept, v_kept), "bucket long, q2 long, q1 long, n long")
-    rows = tokens.groupBy("bucket", "q2", "q1").agg(F.sum("n").alias("n")).collect()  # ratios by steps: bounded by BUCKETS and STEPS
-    weights = fit_weights([tuple(r) for r in rows])
-    every = answers.where("what = 'all'").select("block", "shard", "kind", "counts").groupBy("block")
-    return (
-        _dealt(docs, blocks, id_col, text_col)
-        .groupBy("block")
-        .cogroup(every)
-        .applyInArrow(_score(n, v, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    blocks = materialise(cut_blocks(docs, id_col, text_col), "blocks")
+    ranges = max(partitions(docs.sparkSession), blocks.count())
+    asked = map_rows(blocks, "range int, block long, kind int, deleted boolean, hashes binary, trained binary", _ask(ranges, order))
+    answers = materialise(asked.repartition(ranges, "range").groupBy("range").applyInArrow(_answer, _ANSWER), "answers")
+    n, v, n_kept, v_kept = (int(x) for x in answers.where("block = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_all", "v_all", "n_kept", "v_kept")]).first())
+    by_block = lambda df: df.repartition(ranges, "block").groupBy("block")
+    kept = answers.where("length(kept) > 0").select("block", "range", "kind", "kept")
+    schema = ", ".join([*(f"c{k} long" for k in range(order)), *(f"h{k} long" for k in range(1, order)), "n long"])
+    tokens = by_block(blocks.where("deleted").select("block", "docs")).cogroup(by_block(kept)).applyInArrow(_deleted_tokens(order), schema)
+    weights = fit_weights(tokens, order, n_kept, v_kept)
+    every = answers.where("block >= 0").select("block", "range", "kind", "counts")
+    return by_block(blocks.select("block", "docs")).cogroup(by_block(every)).applyInArrow(
+        _score(n, v, weights, order), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
