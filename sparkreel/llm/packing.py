@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import map_rows, materialise, partitions
+from .common import map_rows, materialise, partitions, slices
 from .wordpieces import encoder
 
 CAPACITY = 2048
 END_ID = 0
+#: Bytes of texts encoded at a time.
+SLICE_BYTES = 4 << 20
 
 
 class CapacityTree:
@@ -90,25 +92,30 @@ def best_fit_decreasing(histogram: dict[int, int], capacity: int = CAPACITY) ->
     return places
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, ids)``; ids as 32-bit little-endian bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end, step = encoder(tokenizer), np.array([end_id], "<u4").tobytes(), 4 * capacity
-        names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        enc = encoder(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                rows = []
-                for doc_id, text in zip(batch.column(0)[at : at + 1000].to_pylist(), batch.column(1)[at : at + 1000]):
-                    ids = enc.encode(text.as_py()) + end
-                    for piece, i in enumerate(range(0, len(ids), step)):
-                        part = ids[i : i + step]
-                        rows.append((doc_id, piece, i // 4, len(part) // 4, zlib.crc32(part), part))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-
+            for part in slices(batch, 1, SLICE_BYTES):
+                bounds, ids = enc.encode_all(part.column(1))
+                ids = np.insert(ids, bounds[1:], end_id)  # the end after each document
+                first = bounds + np.arange(len(bounds))
+                total = np.diff(first)
+                pieces = -(-total // capacity)
+                doc = np.repeat(np.arange(len(pieces)), pieces)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(total[doc] - start, capacity)
+                data, at = ids.astype("<u4").tobytes(), 4 * (first[:-1][doc] + start)
+                parts = [data[a:b] for a, b in zip(at.tolist(), (at + 4 * length).tolist())]
+                columns = [part.column(0).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(map(zlib.crc32, parts), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, *([pa.array(parts, pa.binary())] if with_ids else [])], names)
+
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_rows(rows, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary", run)
+    return map_rows(rows, "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else ""), run)
 
 
 def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -126,7 +133,8 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     shift = 50
     first_keys = (places[:, 0] << shift) + places[:, 1]
     before = F.coalesce(F.sum("n").over(W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("length", "salt", before.alias("before"))
+    # capacity times salts rows, which grow with the partitions: joined in the order and places that numbering needs anyhow, never broadcast.
+    offsets = counts.select("length", "salt", before.alias("before")).hint("merge")
     order = [c for c in ("doc_id", "piece", "start") if c in pieces.columns]
     own = F.row_number().over(W.partitionBy("length", "salt").orderBy(*order)) - 1
     ranked = salted.withColumn("own", own).join(offsets, ["length", "salt"]).withColumn("rank", F.col("own") + F.col("before"))
@@ -153,7 +161,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     rows, repeated rows are packed as often as they occur, other columns are ignored, and an empty
     table gives no rows. Sequences are gapless from offset 0 and hold at most ``capacity`` ids.
     """
-    return place_pieces(cut_pieces(docs, tokenizer, capacity, end_id, id_col, text_col).drop("ids"), capacity)
+    return place_pieces(cut_pieces(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids=False), capacity)
 
 
 def packed_sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -27,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import filesystem, map_rows, materialise, new_path, partitions, publish
+from .common import filesystem, map_rows, materialise, new_path, partitions, publish, remove, slices
 from .wordpieces import encoder
 
 MAGIC = b"SRTOKSS1"
 FOOTER = struct.Struct("<QQQQQQHHI8s")
 BLOCK_BYTES = 64 << 10
 SHARD_BYTES = 256 << 20
+#: Bytes of ids in a task that writes shards, about, and of texts encoded at a time.
+PART_BYTES, SLICE_BYTES = 64 << 20, 4 << 20
 BLOOM_BITS, BLOOM_PROBES = 10, 7
 END_ID = 2
 
@@ -81,8 +83,9 @@ class ShardWriter:
         self.index, self.hashes = [], []
         self.zip = zstandard.ZstdCompressor(level=1)
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        key, value = key_of(doc_id), ids.astype(f"<u{self.width}").tobytes()
+    def add(self, doc_id: int | None, value: bytes) -> None:
+        """``value``: the ids, ``width`` little-endian bytes each."""
+        key = key_of(doc_id)
         if self.first is None:
             self.first, self.last, self.before = key, b"", self.ids
         shared = 0
@@ -92,7 +95,7 @@ class ShardWriter:
         self.last = key
         self.hashes.append(xxhash.xxh64_intdigest(key))
         self.entries += 1
-        self.ids += len(ids)
+        self.ids += len(value) // self.width
         if len(self.block) >= BLOCK_BYTES:
             self._flush()
 
@@ -173,40 +176,64 @@ class Shard:
 
     def get(self, doc_id: int | None) -> np.ndarray | None:
         """The ids of a document (the first of rows that share its id), or None."""
+        return next(self.get_all(doc_id), None)
+
+    def get_all(self, doc_id: int | None) -> Iterator[np.ndarray]:
+        """The ids of all rows with an id."""
         key = key_of(doc_id)
         if not self.may_hold(doc_id):
-            return None
+            return
         for number in range(max(0, bisect.bisect_left(self.keys, key) - 1), len(self.keys)):
             if self.keys[number] > key:
-                return None
+                return
             for found, _, ids in self._entries(number):
                 if found == key:
-                    return ids
-        return None
+                    yield ids
+
+
+def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
+    """``(doc_id, tie, place, ids)`` and the bytes of an id in them: two where vocabulary and end allow it, else four."""
+    from tokenizers import Tokenizer
+
+    width = 2 if max(Tokenizer.from_file(tokenizer).get_vocab_size() - 1, end_id) < 1 << 16 else 4
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer)
+        for batch in batches:
+            for part in slices(batch, 3, SLICE_BYTES):
+                bounds, ids = enc.encode_all(part.column(3))
+                data = np.insert(ids, bounds[1:], end_id).astype(f"<u{width}").tobytes()
+                offsets = (bounds + np.arange(len(bounds))) * width
+                values = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], values], ["doc_id", "tie", "place", "ids"])
+
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("place"), text.alias("text"))
+    return map_rows(rows, "doc_id long, tie long, place long, ids binary", run), width
 
 
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode and write all documents in ascending doc_id order; the manifest of shards.
 
-    Texts are dealt out by ranges of doc_id (ties: by text, then by place in the input), so one
-    id that many rows share is no single task. A task writes its range in order, starting a new
+    Texts are encoded where they are read; their ids are written once and dealt out by ranges of
+    doc_id (ties: by text, then by place in the input), so one id that many rows share is no single
+    task, in as many parts as ``PART_BYTES`` asks for. A task writes its range in order, starting a new
     shard at ``shard_bytes``. Shards are renamed into place, and only those in the manifest count:
     a task that runs twice leaves a file that nothing refers to.
     Manifest: path, first and last doc_id, n_docs, n_ids, part, roll, start (ids in all shards before).
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    encoded, width = encode_documents(docs, tokenizer, end_id, id_col, text_col)
+    encoded = materialise(encoded, "encoded")
+    parts = -(-int(encoded.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()[0]) // PART_BYTES)
     order = ["doc_id", "tie", "place"]
-    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
-    rows = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "text")
+    rows = encoded.repartitionByRange(max(partitions(spark), parts), *order).sortWithinPartitions(*order).select("doc_id", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, part, roll = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        width = 2 if max(enc.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
-        end = np.array([end_id], "<u4").tobytes()
-        flow = ((d.as_py(), t.as_py()) for b in batches for d, t in zip(b.column(0), b.column(1)))
+        part, roll = TaskContext.get().partitionId(), 0
+        flow = (row for b in batches for s in slices(b, 1, SLICE_BYTES) for row in zip(s.column(0).to_pylist(), s.column(1).to_pylist()))
         item = next(flow, None)
         while item is not None:
             path = f"{folder}/shard-{part:06d}-{roll:04d}-{uuid.uuid4().hex}.sst"
@@ -216,7 +243,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
                 nonlocal item
                 writer = ShardWriter(out, width)
                 while item is not None and writer.size() < shard_bytes:
-                    writer.add(item[0], np.frombuffer(enc.encode(item[1]) + end, "<u4"))
+                    writer.add(*item)
                     seen["last"] = item[0]
                     item = next(flow, None)
                 writer.finish()
@@ -227,10 +254,50 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
             roll += 1
 
     manifest = materialise(map_rows(rows, "path string, first long, last long, n_docs long, n_ids long, part int, roll int", run), "manifest")
+    remove(encoded)
     before = W.orderBy("part", "roll").rowsBetween(W.unboundedPreceding, -1)  # one row a shard
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
+def lookup(manifest: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``(doc_id, ids)`` for each distinct id of ``ids`` that a shard holds, ids as 32-bit little-endian bytes.
+
+    An id goes to the shards whose range spans it (more than one only where rows share it: each row
+    is found), and a task opens a shard once, tries its filter and searches its index. A null id
+    finds the rows without one. Of the manifest the driver takes 16 bytes a shard, to find ranges by.
+    """
+    spark, low = manifest.sparkSession, -(1 << 63)
+    numbered = manifest.select("part", "roll", F.coalesce("first", F.lit(low)).alias("first"), F.coalesce("last", F.lit(low)).alias("last"))
+    spans = numbered.orderBy("part", "roll").select("part", "roll", "first", "last").toArrow()
+    first, last = (spans.column(c).to_numpy() for c in ("first", "last"))
+    part, roll = (spans.column(c).to_numpy() for c in ("part", "roll"))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(0).fill_null(low).to_numpy()
+            start, end = np.searchsorted(last, key, "left"), np.searchsorted(first, key, "right")
+            times = np.maximum(end - start, 0)
+            row = np.repeat(np.arange(len(key)), times)
+            at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(part[at]), pa.array(roll[at])], ["doc_id", "part", "roll"])
+
+    wanted = ids.select(F.col(id_col).cast("long").alias("doc_id")).distinct()
+    pairs = map_rows(wanted, "doc_id long, part int, roll int", find).join(manifest.select("part", "roll", "path"), ["part", "roll"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, opened = None, None
+        for batch in batches:
+            for path, doc_id in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if path != opened:
+                    shard, opened = Shard(path), path
+                found = [x.astype("<u4").tobytes() for x in shard.get_all(doc_id)]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(found), pa.int64()), pa.array(found, pa.binary())], ["doc_id", "ids"])
+
+    dealt = pairs.select("path", "doc_id").repartition(partitions(spark), "path").sortWithinPartitions("path", "doc_id")
+    return map_rows(dealt, "doc_id long, ids binary", run)
+
+
 def read_shards(manifest: DataFrame) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` of each document, from the files of a manifest."""
 

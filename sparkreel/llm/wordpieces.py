@@ -6,10 +6,11 @@ import json
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
-from .common import Memory
+from .common import Memory, split_words
 
 #: Distinct words, and distinct pieces of them, that a worker remembers.
 CACHE_WORDS, CACHE_PIECES = 800_000, 400_000
@@ -22,22 +23,8 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class _Words(Memory):
-    """Ids by word; a word that isn't there is encoded."""
-
-    def __init__(self, encode):
-        super().__init__(CACHE_WORDS)
-        self.encode = encode
-
-    def __missing__(self, word: bytes) -> bytes:
-        self.make_room()
-        if not self.has(word):
-            self[word] = self.encode(word)
-        return self[word]
-
-
 class WordEncoder:
-    """Ids of whole texts, as 32-bit little-endian bytes, the same as ``Tokenizer.encode`` gives.
+    """Ids of whole texts, the same as ``Tokenizer.encode`` gives.
 
     White space separates words and is dropped, so a text's ids are those of its words in turn;
     each distinct word is encoded once while it is remembered. This holds for the pipeline "NFC,
@@ -49,7 +36,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         spec = json.loads(open(path, encoding="utf-8").read())
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.cache = _Words(self._word)
+        self.cache = Memory(CACHE_WORDS)
         self.pieces = Memory(CACHE_PIECES)
         self.letters = _byte_letters()
         steps = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
@@ -66,8 +53,7 @@ class WordEncoder:
         if self.by_word:
             self.pattern = regex.compile(cuts[0]["pattern"]["Regex"])
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
+    def _word(self, text: str) -> bytes:
         if any(s in text for s in self.special) or not text.isascii():
             if self._odd(text):
                 return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -89,11 +75,30 @@ class WordEncoder:
         return b"".join(out)
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
+        return self.encode_all(pa.array([text], pa.string()))[1].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each text start (and the end of the last), and the ids of all texts.
+
+        Each distinct word of the texts is looked up once; the rest is array work.
+        """
         if not self.by_word:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.cache.__getitem__, text.encode().split()))
+            ids = [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if t else np.empty(0, "<u4") for t in texts.to_pylist()]
+            return np.cumsum([0, *map(len, ids)]), np.concatenate([np.empty(0, "<u4"), *ids])
+        bounds, codes, distinct = split_words(texts)
+        self.cache.make_room()
+        words, cache, own = distinct.to_pylist(), self.cache, self._word
+        found = []
+        for word in words:
+            if not cache.has(word):
+                cache[word] = own(word)
+            found.append(cache[word])
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[codes]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        return ends[bounds], flat[np.repeat(starts[codes] - ends[:-1], n) + np.arange(ends[-1])]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -1,4 +1,5 @@
 import base64
+import functools
 import hashlib
 import random
 import string
@@ -21,8 +22,13 @@ WORDS, RANKS = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.pa
 ODD = ["", " ", "a  b", "a   b c", "<|endoftext|>a b", "It's DON'T İstanbul Straße é ﬁ 日本語 ΑΣ Σ", "a b\x1cc\x85d", "1234 a1b2 ''s", "😀 x﻿y", "x\n  y\n\n z \n", "a \n b", " a", "a ", "a  ", "abc" * 900]
 
 
+@functools.cache
+def tokenizer():
+    return Tokenizer.from_file(WORDS)
+
+
 def plain_ids(text):
-    return np.array(Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids, "<u4")
+    return np.array(tokenizer().encode(text or "", add_special_tokens=False).ids, "<u4")
 
 
 def library():
@@ -48,7 +54,7 @@ def test_shard_lookup_and_scan(tmp_path):
     with open(path, "wb") as out:
         writer = sstable.ShardWriter(out, 2)
         for doc_id, ids in docs:
-            writer.add(doc_id, ids)
+            writer.add(doc_id, ids.astype("<u2").tobytes())
         writer.finish()
     shard = sstable.Shard(str(path))
     assert len(shard.blocks) > 5 and shard.entries == len(docs)
@@ -76,6 +82,19 @@ def test_token_table(spark, shard_bytes):
         want.append((r["doc_id"], start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     assert got == want and (manifest.count() > 10) == (shard_bytes == 1000)
+    asked = [5, 7, 7, 10**9, -3, None, *range(100, 140)]
+    found = {r["doc_id"]: r["ids"] for r in sstable.lookup(manifest, spark.createDataFrame([(i,) for i in asked], "doc_id long")).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert found == {i: np.append(plain_ids(texts[i]), 2).astype("<u4").tobytes() for i in asked if i in texts}
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 28, 100])
+def test_lookup_finds_all_rows_of_an_id(spark, shard_bytes):
+    odd = odd_documents(spark)
+    manifest = sstable.write_shards(odd, WORDS, new_path(spark, "t"), shard_bytes=shard_bytes)
+    found = [r["doc_id"] for r in sstable.lookup(manifest, odd.select("doc_id").union(spark.createDataFrame([(99,)], "doc_id long"))).collect()]
+    assert sorted(map(str, found)) == sorted(str(r["doc_id"]) for r in odd.collect())
+    assert sstable.lookup(sstable.write_shards(odd.limit(0), WORDS, new_path(spark, "t")), odd).count() == 0
 
 
 def test_token_table_odd_rows(spark):
