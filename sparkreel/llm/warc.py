@@ -29,6 +29,10 @@ MIN_REVISIT_BYTES = 1000
 #: The dictionary is trained on at most so many records, chosen by hash, at most so many bytes of
 #: each. It only changes how small the files are; every record is written.
 SAMPLE_RECORDS, SAMPLE_BYTES, DICTIONARY_BYTES = 1024, 8192, 64 << 10
+#: Bytes of payload in a task that writes archives, and of frames in a file, about.
+PART_BYTES, FILE_BYTES = 32 << 20, 1 << 30
+#: Rows that are alike (one page_id and payload) are dealt to so many places.
+SALTS = 8
 DATE = "2000-01-01T00:00:00Z"
 LEVEL = 3
 
@@ -86,63 +90,69 @@ def read_archive(uri: str, chunk: int = 1 << 20) -> Iterator[bytes]:
                 data = file.read(chunk)
 
 
-def train_dictionary(pages: DataFrame) -> bytes:
-    """A Zstandard dictionary over records of ``pages(page_id, url, payload, digest)``; empty if there are too few."""
+def train_dictionary(pages: DataFrame, keys: DataFrame) -> bytes:
+    """A Zstandard dictionary over records of ``pages(page_id, url, payload)``; empty if there are too few.
+
+    The records are picked by hash among ``keys(page_id, digest)``; only theirs are cut out of the payloads.
+    """
+    picked = keys.select("page_id", "digest").distinct().orderBy(F.xxhash64("digest", "page_id")).limit(SAMPLE_RECORDS)
+    names = {(r["page_id"], r["digest"]) for r in picked.collect()}
+    wanted = F.col("page_id").isin([i for i, _ in names if i is not None]) | (F.col("page_id").isNull() & F.lit(any(i is None for i, _ in names)))
     size = F.octet_length("payload")
-    at = F.pmod(F.xxhash64("page_id", "digest"), F.greatest(size - SAMPLE_BYTES, F.lit(1))) + 1
-    picked = (
-        pages.select("page_id", "url", "digest", size.alias("size"), F.substring(F.col("payload"), at.cast("int"), F.lit(SAMPLE_BYTES)).alias("part"))
-        .orderBy(F.xxhash64("digest", "page_id"))
-        .limit(SAMPLE_RECORDS)
-        .toArrow()
-        .to_pylist()
-    )
-    samples = [record(p["page_id"], p["url"], p["part"], p["size"], p["digest"], None) for p in picked]
+    at = F.pmod(F.xxhash64("page_id"), F.greatest(size - SAMPLE_BYTES, F.lit(1))) + 1
+    part = pages.where(wanted).select("page_id", "url", F.sha1("payload").alias("digest"), size.alias("size"), F.substring(F.col("payload"), at.cast("int"), F.lit(SAMPLE_BYTES)).alias("part"))
+    found = {(p["page_id"], p["digest"]): p for p in part.join(F.broadcast(picked), ["digest"], "left_semi").dropDuplicates(["page_id", "digest"]).toArrow().to_pylist()}  # SAMPLE_RECORDS rows
+    samples = [record(p["page_id"], p["url"], p["part"], p["size"], p["digest"], None) for _, p in sorted(found.items(), key=repr)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
         return b""
 
 
-def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", text_col: str = "html", min_revisit: int = MIN_REVISIT_BYTES) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", text_col: str = "html", min_revisit: int = MIN_REVISIT_BYTES, part_bytes: int = PART_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write a record per row; the manifest ``(path, n_records)`` of the files that count.
 
-    The payload itself moves once, by page_id; which record is stored is settled on digests alone.
-    Files are renamed into place, so a task that runs twice leaves a file that no manifest names.
+    The payload itself moves once, into as many parts as ``part_bytes`` asks for; which record is
+    stored is settled on digests alone. A task starts a new file at ``file_bytes`` of frames. Files
+    are renamed into place, so a task that runs twice leaves a file that no manifest names.
     """
     payload = F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", F.sha1("payload"))
-    keys = materialise(rows.select("page_id", "digest", F.octet_length("payload").alias("size")), "digests")
+    keys = materialise(rows.select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("size")), "digests")
+    parts = max(partitions(pages.sparkSession), -(-int(keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]) // part_bytes))
     large = keys.where(F.col("size") >= min_revisit)
     stored = large.groupBy("digest").agg(F.max("page_id").alias("stored"), F.count("*").alias("n")).where("n > 1").drop("n")
     stored = materialise(stored, "stored")  # two plain shuffles meet in the join, so that Spark can split a frequent payload
-    again = large.join(stored, "digest").where("page_id != stored or (page_id is null and stored is not null)").select(F.col("page_id").alias("id"), F.col("digest").alias("of"), "stored").distinct()
-    dictionary = train_dictionary(rows)
-    dealt = rows.join(again, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left").select("page_id", "url", F.when(F.col("of").isNull(), F.col("payload")).alias("payload"), F.octet_length("payload").alias("size"), "digest", "stored")
-    dealt = dealt.sortWithinPartitions("page_id")  # the join has dealt the pages out, or left them where they were read
+    again = large.join(stored, "digest").where("page_id != stored or (page_id is null and stored is not null)").select("page_id", "digest", "stored").distinct()
+    dictionary = train_dictionary(rows, keys)
+    # One text is the key of both sides, so that the join takes the dealing by bytes as it is. Its
+    # salt spreads rows that are alike; of the verdict on a page, a narrow row, there is one a salt.
+    name = F.concat_ws(" ", F.col("salt").cast("string"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), "digest").alias("name")
+    verdicts = again.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).select(name, F.lit(True).alias("again"), "stored").hint("merge")
+    salted = rows.withColumns({"salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"), "digest": F.sha1("payload")})
+    dealt = salted.select(name, "page_id", "url", "payload", "digest").repartition(parts, "name").join(verdicts, "name", "left")
+    dealt = dealt.select("page_id", "url", F.when(F.col("again").isNull(), F.col("payload")).alias("payload"), F.octet_length("payload").alias("size"), "digest", "stored")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         flow = (row for b in batches for i in range(0, b.num_rows, 64) for row in b.slice(i, 64).to_pylist())
-        first = next(flow, None)
-        if first is None:
-            return
-        path = f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.zst"
-        squeeze, count = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None), 0
-
-        def fill(out) -> None:
-            nonlocal count
-            out.write(struct.pack("<II", DICTIONARY_FRAME, len(dictionary)) + dictionary)
-            row = first
-            while row is not None:
-                out.write(squeeze.compress(record(row["page_id"], row["url"], row["payload"], row["size"], row["digest"], row["stored"])))
-                count += 1
-                row = next(flow, None)
-
-        publish(path, fill)
-        yield pa.RecordBatch.from_pylist([{"path": path, "n_records": count}])
+        squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
+        row = next(flow, None)
+        while row is not None:
+            path = f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.zst"
+            count = 0
+
+            def fill(out) -> None:
+                nonlocal count, row
+                size = out.write(struct.pack("<II", DICTIONARY_FRAME, len(dictionary)) + dictionary)
+                while row is not None and (not count or size < file_bytes):
+                    size += out.write(squeeze.compress(record(row["page_id"], row["url"], row["payload"], row["size"], row["digest"], row["stored"])))
+                    count += 1
+                    row = next(flow, None)
+
+            publish(path, fill)
+            yield pa.RecordBatch.from_pylist([{"path": path, "n_records": count}])
 
     return materialise(map_rows(dealt, "path string, n_records long", run), "archives")
 

@@ -407,6 +407,14 @@ def test_warc_round_trip(spark, tmp_path):
     assert next(p["payload"] for p in parsed if p["page_id"] == 2) == big.encode() and warc.archive(pages.limit(0)).count() == 0
 
 
+def test_warc_files_roll_and_parts_follow_bytes(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"{i} " * 600) for i in range(60)] + [(None, None, "z" * 2000)] * 30, PAGES)
+    manifest = warc.write_archives(pages, f"file://{tmp_path}/w", part_bytes=20_000, file_bytes=1).collect()
+    assert len(manifest) == 90 and all(m["n_records"] == 1 for m in manifest)
+    few = warc.write_archives(pages, f"file://{tmp_path}/v", part_bytes=1 << 30).collect()
+    assert sum(m["n_records"] for m in few) == 90 and len(few) <= 4 and len({m["path"] for m in few}) == len(few)
+
+
 def test_warc_dictionary_leads_and_helps(spark, tmp_path):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     manifest = warc.write_archives(pages, f"file://{tmp_path}/w").collect()
@@ -419,34 +427,90 @@ def test_warc_dictionary_leads_and_helps(spark, tmp_path):
         next(warc.read_archive(str(damaged)))
 
 
-def test_scores_equal_plain_model(spark):
-    docs = documents(spark, "sf0.01")
-    rows = {r["doc_id"]: r for r in lm_scoring.score_texts(docs).collect()}
+@pytest.mark.parametrize(("sf", "order"), [("sf0.001", 3), ("sf0.01", 3), ("sf0.001", 2), ("sf0.001", 4)])
+def test_scores_equal_plain_model(spark, sf, order):
+    """Counts, weights by EM and scores of all documents, against dictionaries of tuples."""
+    docs = documents(spark, sf)
+    rows = {r["doc_id"]: r for r in lm_scoring.score_texts(docs, order=order).collect()}
     texts = {r["doc_id"]: (r["text"] or "").encode().lower().split() + [None] for r in docs.collect()}
+    draw = {r["doc_id"]: r["d"] for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("deleted")), F.lit(20)).alias("d")).collect()}
     held = {i for i in texts if zlib.crc32(str(i).encode()) % 5 == 1}
-    c = collections.Counter(w for i, t in texts.items() if i not in held for w in t)
-    pairs = collections.Counter(p for i, t in texts.items() if i not in held for p in zip([None, *t], t))
-    n, v, better = sum(c.values()), len(c), 0
-    weights = {}
+    deleted = [i for i in texts if i not in held and draw[i] == 0]
+
+    def counts(ids):
+        out = [collections.Counter() for _ in range(order)]
+        for i in ids:
+            t = [None] * (order - 1) + texts[i]
+            for k in range(order):
+                out[k].update(tuple(t[j - k : j + 1]) for j in range(order - 1, len(t)))
+        return out, sum(out[0].values()), len(out[0]), len(list(ids))
+
+    def places(ids, model):
+        """Counts and history counts of each token."""
+        c, n, v, many = model
+        for i in ids:
+            t = [None] * (order - 1) + texts[i]
+            for j in range(order - 1, len(t)):
+                first = j == order - 1
+                yield [c[k][tuple(t[j - k : j + 1])] for k in range(order)], [many if first else c[k - 1][tuple(t[j - k : j])] for k in range(1, order)]
+
+    def chance(own, histories, weights, n, v):
+        p = weights[0].get(0, 0.5) * own[0] / max(n, 1) + (1 - weights[0].get(0, 0.5)) / (v + 1)
+        chain = [1 / (v + 1), p]
+        for k, h in enumerate(histories, 1):
+            w = weight(weights, k, h)
+            p = (w * own[k] / h if h else 0) + (1 - w) * p
+            chain.append(p)
+        return chain
+
+    def weight(weights, k, h):
+        if not h:
+            return 0.0
+        b = h.bit_length()
+        return weights[k][min(weights[k], key=lambda x: (abs(x - b), x))] if weights[k] else 0.5
+
+    train = counts(i for i in texts if i not in held)
+    train = (*train[:3], sum(i not in held for i in texts))
+    kept_ids = [i for i in texts if i not in held and i not in set(deleted)]
+    kept = (*counts(kept_ids)[:3], len(kept_ids))
+    tokens = list(places(deleted, kept))
+    weights, n, v = [{} for _ in range(order)], kept[1], kept[2]
+    for _ in range(lm_scoring.ROUNDS):
+        made, reached = collections.Counter(), collections.Counter()
+        for own, histories in tokens:
+            chain, reach = chance(own, histories, weights, n, v), 1.0
+            for k in reversed(range(order)):
+                h = histories[k - 1] if k else n
+                w = weights[0].get(0, 0.5) if k == 0 else weight(weights, k, h)
+                part = reach * w * (own[k] / max(h, 1)) / chain[k + 1]
+                key = k, h.bit_length() if k else 0
+                made[key] += part
+                reached[key] += reach
+                reach -= part
+        moved = 0.0
+        for (k, b), r in reached.items():
+            if k == 0 or b:
+                new = (made[k, b] + 0.5) / (r + 1)
+                moved = max(moved, abs(new - weights[k].get(b, 0.5)))
+                weights[k][b] = new
+        if moved < lm_scoring.TOLERANCE:
+            break
+    n, v = train[1], train[2]
+    better = 0
     for i, t in texts.items():
-        r = rows[i]
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (i in held, len(t), sum(w in c for w in t), n)
-        assert math.isclose(r["base_score"], sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t), rel_tol=1e-9)
+        r, c = rows[i], train[0][0]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (i in held, len(t), sum((w,) in c for w in t), n)
+        assert math.isclose(r["base_score"], sum(math.log10((c[w,] + 0.5) / (n + 0.5 * (v + 1))) for w in t), rel_tol=1e-9)
+        want = sum(math.log10(chance(own, histories, weights, n, v)[-1]) for own, histories in places([i], train))
+        assert math.isclose(r["score"], want, rel_tol=1e-5), (i, r["score"], want)
         better += i in held and r["score"] > r["base_score"]
-        if len(t) == 1:
-            weights.setdefault("end", []).append(r["score"])
-    assert better > 0.9 * len(held) and pairs
-    assert sum(rows[i]["score"] for i in held) / sum(len(texts[i]) for i in held) > 0.3 + sum(rows[i]["base_score"] for i in held) / sum(len(texts[i]) for i in held)
+    assert better > 0.9 * len(held) and len(rows) == len(texts)
 
 
-def test_weights_by_em():
-    rng = np.random.default_rng(0)
-    kind = rng.choice(3, 30_000, p=[0.6, 0.3, 0.1])
-    # Tokens that only one estimate explains at all, but for the uniform share.
-    rows = collections.Counter((3, 80 if k == 0 else lm_scoring._NONE, 80 if k == 1 else lm_scoring._NONE) for k in kind)
-    w = lm_scoring.fit_weights([(*k, n) for k, n in rows.items()])
-    assert np.abs(w[3] - [0.6, 0.3, 0.1]).max() < 0.01 and np.allclose(w.sum(axis=1), 1) and (w[9] == w[3]).all() and w[0, 0] == 0
-    assert np.allclose(lm_scoring.fit_weights([]).sum(axis=1), 1)
+def test_scores_do_not_depend_on_blocks_or_partitions(spark):
+    docs = documents(spark)
+    results = [{r["doc_id"]: r["score"] for r in lm_scoring.score_texts(docs.repartition(n, "source")).collect()} for n in (1, 7, 61)]
+    assert all(math.isclose(results[0][i], r[i], rel_tol=1e-9) for r in results[1:] for i in r)
 
 
 def test_scores_of_odd_rows(spark):
