@@ -2,9 +2,9 @@
 
 Equal vectors collapse to classes. The classes' unit vectors are turned to the principal axes of
 their second-moment matrix, so that the first few products carry most of a cosine, and are dealt to
-the leaves of a k-d tree over the leading axes. A pair of leaves is left out if the boxes of their
-coordinates can't reach the threshold. Each remaining pair of tiles is one Spark group: it adds up
-leading dimensions, bounds what is left of the product by the norms of the suffixes, and stops for
+the leaves of a k-d tree over the leading axes. A vector visits those leaves alone whose boxes of
+coordinates let it reach the threshold. Each tile of a leaf, with its visitors, is one Spark group:
+it adds up leading dimensions, bounds what is left of the product by the norms of the suffixes, and stops for
 pairs that can't reach the threshold. Only counts per vector and links that join two components
 leave the group, never all pairs.
 """
@@ -22,12 +22,12 @@ from .common import map_rows, materialise
 from .components import connected_components, join_labels
 
 THRESHOLD = 0.9
-#: Vectors in a tile; a group holds two tiles.
-TILE_ROWS = 8192
+#: Vectors in a tile, about, and how many times as many visitors a group has at most, about.
+TILE_ROWS, VISITORS = 1024, 8
 #: The k-d tree is fitted on so many vectors at most; every vector is dealt out and compared.
 SAMPLE_ROWS = 16384
-#: Leaves of the tree at most, which bounds the boxes on the driver. Larger leaves have several tiles.
-MAX_LEAVES = 1024
+#: Leaves of the tree at most, which bounds the boxes (1 MB) that the driver gathers and tasks carry. Larger leaves have several tiles.
+MAX_LEAVES = 4096
 #: Leading axes in the boxes and splits.
 LEAD = 16
 _EPS = 1e-9
@@ -35,6 +35,7 @@ _EPS = 1e-9
 
 def usable(vector):
     """Neither null nor zero, and without null or non-finite components."""
+    vector = vector.cast("array<double>")
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
@@ -94,19 +95,6 @@ def _leaf_of(x: np.ndarray, nodes: list[tuple[int, float]]) -> np.ndarray:
         at[inner] = 2 * i + 1 + (x[inner, axis[i]] >= cut[i])
 
 
-def _reachable(boxes: list, lead: int, threshold: float) -> list[tuple[int, int]]:
-    """Pairs of leaves (i <= j) whose boxes allow the threshold."""
-    low = np.array([[b[f"lo{k}"] for k in range(lead)] for b in boxes])
-    high = np.array([[b[f"hi{k}"] for k in range(lead)] for b in boxes])
-    rest, names, out = np.array([b["rest"] for b in boxes]), np.array([b["leaf"] for b in boxes]), []
-    for i in range(len(boxes)):
-        best = np.max([low[i] * low[i:], low[i] * high[i:], high[i] * low[i:], high[i] * high[i:]], axis=0).sum(axis=1)
-        for j in i + np.flatnonzero(best + rest[i] * rest[i:] >= threshold - _EPS):
-            a, b = sorted((int(names[i]), int(names[j])))
-            out.append((a, b))
-    return out
-
-
 def _near(x: np.ndarray, y: np.ndarray, raw_x: np.ndarray, raw_y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Positions of pairs with cosine >= threshold; x, y are unit rows in principal order."""
     dim = x.shape[1]
@@ -138,79 +126,143 @@ def _near(x: np.ndarray, y: np.ndarray, raw_x: np.ndarray, raw_y: np.ndarray, th
     return a[sure], b[sure]
 
 
-def _tile_pair(axes: np.ndarray, threshold: float):
+def _tile(axes: np.ndarray, threshold: float):
+    """What the members of a tile link with among themselves and among the visitors."""
+
     def run(table: pa.Table) -> pa.Table:
-        role = table.column("role").to_numpy()
+        visits = table.column("visits").to_numpy()
         ids, weight = table.column("id").to_numpy(), table.column("n").to_numpy()
         raw = _matrix(table.column("embedding").combine_chunks())
         turned = _unit(raw) @ axes
-        first, second = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
-        alone = not table.column("two")[0].as_py()
-        second = first if alone else second
+        members = np.flatnonzero(~visits)
         links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        for i in range(0, len(first), 512):
-            rows = first[i : i + 512]
-            for j in range(0, len(second), 2048):
-                cols = second[j : j + 2048]
-                if alone and cols[-1] <= rows[0]:
-                    continue
-                a, b = _near(turned[rows], turned[cols], raw[rows], raw[cols], threshold)
-                a, b = rows[a], cols[b]
-                if alone:
-                    a, b = a[a < b], b[a < b]
-                links += np.bincount(a, weight[b], len(ids)).astype(np.int64) + np.bincount(b, weight[a], len(ids)).astype(np.int64)
-                label = join_labels(label, a, b)
+        for second, own in ((members, True), (np.flatnonzero(visits), False)):
+            if own and not table.column("first")[0].as_py():
+                continue  # another chunk of the tile's visitors has compared the members
+            for i in range(0, len(members), 512):
+                rows = members[i : i + 512]
+                for j in range(i if own else 0, len(second), 2048):
+                    cols = second[j : j + 2048]
+                    a, b = _near(turned[rows], turned[cols], raw[rows], raw[cols], threshold)
+                    a, b = rows[a], cols[b]
+                    if own:
+                        a, b = a[a < b], b[a < b]
+                    links += np.bincount(a, weight[b], len(ids)).astype(np.int64) + np.bincount(b, weight[a], len(ids)).astype(np.int64)
+                    label = join_labels(label, a, b)
         got = np.flatnonzero(links)
         return pa.table({"id": ids[got], "links": links[got], "root": ids[label[got]]})
 
     return run
 
 
+class Leaves:
+    """Boxes of the leaves' vectors, and which leaves a vector can reach."""
+
+    def __init__(self, boxes: list, lead: int, threshold: float, tile_rows: int):
+        boxes = sorted(boxes, key=lambda b: b["leaf"])
+        self.lead, self.threshold = lead, threshold
+        self.leaf = np.array([b["leaf"] for b in boxes], np.int64)
+        self.low = np.array([[b[f"lo{k}"] for k in range(lead)] for b in boxes]).reshape(-1, lead)
+        self.high = np.array([[b[f"hi{k}"] for k in range(lead)] for b in boxes]).reshape(-1, lead)
+        self.rest = np.array([b["rest"] for b in boxes])
+        self.tiles = np.array([-(-b["rows"] // tile_rows) for b in boxes], np.int64)
+        self.chunks = np.ones(len(boxes), np.int64)
+
+    def home(self, x: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """The place of each row's leaf, or, where rounding put the row over a cut this time, of one whose box holds it."""
+        place = np.minimum(np.searchsorted(self.leaf, leaf), len(self.leaf) - 1)
+        lead, eps = x[:, : self.lead], _EPS / 10
+        fits = (self.leaf[place] == leaf) & (lead >= self.low[place] - eps).all(axis=1) & (lead <= self.high[place] + eps).all(axis=1)
+        for i in np.flatnonzero(~fits):
+            place[i] = np.flatnonzero((lead[i] >= self.low - eps).all(axis=1) & (lead[i] <= self.high + eps).all(axis=1))[0]
+        return place
+
+    def reached(self, x: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, place of a leaf) for the leaves later than home that hold vectors a row may link with.
+
+        The most that a product over the leading axes can be in a box, and the product of the norms
+        of what is left, bound the cosine.
+        """
+        lead = x[:, : self.lead]
+        rest = np.sqrt(np.maximum((x[:, self.lead :] ** 2).sum(axis=1), 0))
+        best = np.maximum(lead, 0) @ self.high.T + np.minimum(lead, 0) @ self.low.T + np.outer(rest, self.rest)
+        return np.nonzero((best >= self.threshold - _EPS) & (np.arange(len(self.leaf))[None] > home[:, None]))
+
+
 def _compare(classes: DataFrame, dim: int, threshold: float, tile_rows: int) -> DataFrame:
-    """``(id, links, root)``: what each pair of tiles found, for the classes of one dimension."""
-    spark = classes.sparkSession
+    """``(id, links, root)``: what each tile found, for the classes of one dimension.
+
+    A vector is a member of one tile of its leaf, and visits the other tiles it may have links in:
+    the later tiles of its own leaf and all tiles of the later leaves that it can reach. So a pair
+    meets once, and what is shuffled is in proportion to what can be reached. A tile's visitors are dealt out
+    in chunks of about ``VISITORS`` times its rows, each with a copy of the members.
+    """
     axes, lead = principal_axes(classes, dim), min(LEAD, dim)
-    count = classes.count()
-    leaves = 1
+    leaves, count = 1, classes.count()
     while leaves < min(MAX_LEAVES, count / tile_rows):
         leaves *= 2
     picked = classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("embedding").toArrow()
     tree = _grow_tree((_unit(_matrix(picked.column(0).combine_chunks())) @ axes)[:, :lead], leaves)
+    kind = classes.schema["embedding"].dataType.simpleString()
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def boxed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The box of each leaf over the vectors of a task."""
+        rows, rest, low, high = np.zeros(leaves, np.int64), np.zeros(leaves), np.full((leaves, lead), np.inf), np.full((leaves, lead), -np.inf)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _unit(_matrix(batch.column("embedding"))) @ axes
-            extra = {"leaf": pa.array(_leaf_of(x[:, :lead], tree)), "rest": pa.array(np.sqrt((x[:, lead:] ** 2).sum(axis=1)))}
-            extra |= {f"c{k}": pa.array(x[:, k]) for k in range(lead)}
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra.values()], [*batch.schema.names, *extra])
-
-    fields = "id long, n long, embedding array<double>, leaf long, rest double, " + ", ".join(f"c{k} double" for k in range(lead))
-    placed = materialise(map_rows(classes.select("id", "n", "embedding"), fields, place), "placed")
-    edge = [f(f"c{k}").alias(f"{n}{k}") for k in range(lead) for n, f in (("lo", F.min), ("hi", F.max))]
-    boxes = placed.groupBy("leaf").agg(F.count("*").alias("rows"), F.max("rest").alias("rest"), *edge).collect()  # MAX_LEAVES rows
-    tiles = {b["leaf"]: -(-b["rows"] // tile_rows) for b in boxes}
-    pairs = _reachable(boxes, lead, threshold)
-    partners = [(a, b, tiles[a], tiles[b], 0) for a, b in pairs] + [(b, a, tiles[b], tiles[a], 1) for a, b in pairs if a != b]
-    partner = F.broadcast(spark.createDataFrame(partners, "leaf long, other long, own_tiles long, other_tiles long, side int"))  # MAX_LEAVES squared at most
-    rows = (
-        placed.select("id", "n", "embedding", "leaf")
-        .join(partner, "leaf")
-        .withColumn("tile", F.pmod(F.xxhash64("id"), F.col("own_tiles")))
-        .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("other_tiles") - 1)))
-    )
-    same = F.col("leaf") == F.col("other")
-    swap = (F.col("side") == 1) | (same & (F.col("tile") > F.col("with")))
-    own, other = F.struct("leaf", "tile"), F.struct(F.col("other").alias("leaf"), F.col("with").alias("tile"))
-    rows = rows.select(
-        F.when(swap, F.struct(other.alias("x"), own.alias("y"))).otherwise(F.struct(own.alias("x"), other.alias("y"))).alias("task"),
-        F.when(swap, 1).otherwise(0).alias("role"),
-        (~same | (F.col("tile") != F.col("with"))).alias("two"),
-        "id", "n", "embedding",
-    )
-    # Before: groups are dealt out by hash; several may share a partition, one at a time in memory.
-    return rows.groupBy("task").applyInArrow(_tile_pair(axes, threshold), "id long, links long, root long")
+            if batch.num_rows:
+                x = _unit(_matrix(batch.column(0))) @ axes
+                leaf = _leaf_of(x[:, :lead], tree)
+                np.add.at(rows, leaf, 1)
+                np.maximum.at(rest, leaf, np.sqrt((x[:, lead:] ** 2).sum(axis=1)))
+                np.minimum.at(low, leaf, x[:, :lead])
+                np.maximum.at(high, leaf, x[:, :lead])
+        at = np.flatnonzero(rows)
+        columns = {"leaf": at, "rows": rows[at], "rest": rest[at], **{f"lo{k}": low[at, k] for k in range(lead)}, **{f"hi{k}": high[at, k] for k in range(lead)}}
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
+
+    edges = [f"{n}{k}" for n in ("lo", "hi") for k in range(lead)]
+    parts = map_rows(classes.select("embedding"), "leaf long, rows long, rest double, " + ", ".join(f"{e} double" for e in edges), boxed)
+    found = parts.groupBy("leaf").agg(F.sum("rows").alias("rows"), F.max("rest").alias("rest"), *[(F.min if e[0] == "l" else F.max)(e).alias(e) for e in edges])
+    boxes = Leaves(found.collect(), lead, threshold, tile_rows)  # MAX_LEAVES rows at most
+
+    def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(boxes.leaf), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                x = _unit(_matrix(batch.column(0))) @ axes
+                total += np.bincount(boxes.reached(x, boxes.home(x, _leaf_of(x[:, :lead], tree)))[1], minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["at", "n"])
+
+    for at, n in map_rows(classes.select("embedding"), "at long, n long", visited).groupBy("at").agg(F.sum("n")).collect():
+        # Members of a leaf with several tiles visit the later ones too.
+        boxes.chunks[at] = 1 + (n + (boxes.tiles[at] - 1) * tile_rows) // (VISITORS * tile_rows)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                x, ids = _unit(_matrix(part.column(2))) @ axes, part.column(0).to_numpy()
+                home = boxes.home(x, _leaf_of(x[:, :lead], tree))
+                draw = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+                tile = (draw % boxes.tiles[home].astype(np.uint64)).astype(np.int64)
+                each = np.arange(len(ids))
+                rows, places = boxes.reached(x, home)
+                later = boxes.tiles[home] - tile - 1
+                # As a member, for each chunk of visitors; as a visitor of later tiles at home; as one of other leaves' tiles.
+                who = [np.repeat(each, boxes.chunks[home]), np.repeat(each, later), np.repeat(rows, boxes.tiles[places])]
+                where = [home[who[0]], home[who[1]], np.repeat(places, boxes.tiles[places])]
+                number = [np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n) for w, n in zip(who, (boxes.chunks[home], later, boxes.tiles[places]))]
+                tiles = [tile[who[0]], tile[who[1]] + 1 + number[1], number[2]]
+                chunk = [number[0], *((draw[w] >> np.uint64(5)).astype(np.int64) % boxes.chunks[p] for w, p in zip(who[1:], where[1:]))]
+                who_, visits = np.concatenate(who), np.arange(sum(map(len, who))) >= len(who[0])
+                task = pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in (where, tiles, chunk)], ["leaf", "tile", "chunk"])
+                for lo in range(0, len(who_), 4096):
+                    take = pa.array(who_[lo : lo + 4096])
+                    yield pa.RecordBatch.from_arrays([task.slice(lo, 4096), pa.array(visits[lo : lo + 4096]), pa.array(np.concatenate(chunk)[lo : lo + 4096] == 0), *(part.column(k).take(take) for k in range(3))], ["task", "visits", "first", "id", "n", "embedding"])
+
+    fields = f"task struct<leaf:bigint,tile:bigint,chunk:bigint>, visits boolean, first boolean, id long, n long, embedding {kind}"
+    rows = map_rows(classes.select("id", "n", "embedding"), fields, deal)
+    return rows.groupBy("task").applyInArrow(_tile(axes, threshold), "id long, links long, root long")
 
 
 def near_duplicate_vectors(
@@ -230,7 +282,9 @@ def near_duplicate_vectors(
     * An empty table gives an empty result.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
+    # Vectors move as they are stored, four bytes a component where they are floats; work on them is in double precision.
+    kind = vectors.schema[vector_col].dataType.simpleString()
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind if kind == "array<float>" else "array<double>").alias("embedding"))
     rows = rows.withColumn("usable", usable(F.col("embedding")))
     good = rows.where("usable").select("vec_id", "embedding")
     classes = good.groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))

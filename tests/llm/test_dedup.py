@@ -82,6 +82,8 @@ def test_components_of_paths_and_stars(spark):
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame([*links, (None, 3)], "a long, b long")).collect()}
     assert got == components({n for e in links if e[0] != e[1] for n in e}, [e for e in links if e[0] != e[1]])
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+    salted = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(links, "a long, b long"), hub=20).collect()}
+    assert salted == got
 
 
 def brute_vectors(rows):
@@ -122,11 +124,25 @@ def test_tile_keeps_links_of_earlier_blocks(monkeypatch):
         return tuple(np.array(v, np.int64) for v in zip(*found)) if found else (np.empty(0, np.int64),) * 2
 
     monkeypatch.setattr(embeddings, "_near", near)
-    rows = pa.table({"role": [0] * n, "two": [False] * n, "id": list(range(n)), "n": [1] * n, "embedding": [[float(i), 1.0] for i in range(n)]})
-    out = embeddings._tile_pair(np.eye(2), 0.9)(rows).to_pydict()
+    rows = pa.table({"visits": [False] * n, "first": [True] * n, "id": list(range(n)), "n": [1] * n, "embedding": [[float(i), 1.0] for i in range(n)]})
+    out = embeddings._tile(np.eye(2), 0.9)(rows).to_pydict()
     assert set(out["id"]) == {i for pair in links for i in pair} and set(out["root"]) == {0}
 
 
+@pytest.mark.parametrize("tile", [4, 30])
+def test_visits_meet_every_pair_once(spark, monkeypatch, tile):
+    """Many leaves with several tiles and chunks each, clusters across their borders, and coordinates at the cuts."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(12, 6)) * (rng.random((12, 6)) < 0.7)
+    rows = [(i, (centres[rng.integers(12)] + rng.normal(scale=0.15, size=6) * rng.integers(0, 2)).tolist()) for i in range(260)]
+    monkeypatch.setattr(embeddings, "MAX_LEAVES", 8)
+    monkeypatch.setattr(embeddings, "VISITORS", 1)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5), tile_rows=tile).collect()}
+    links = [(a, b) for (a, x), (b, y) in itertools.combinations(rows, 2) if any(x) and any(y) and np.dot(x, y) / (np.linalg.norm(x) * np.linalg.norm(y)) >= 0.9]
+    want, degree = components(range(260), links), [sum(i in e for e in links) for i in range(260)]
+    assert got == {i: (degree[i], want[i]) for i in range(260)}
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, 0.0]), (8, [1.0, 0.0]), (8, [1.0, 0.0]), (None, [1.0, 0.0]), (9, [1.0, 0.0, 0.0]), (10, [-1.0, 0.0]), (11, [3e38, 1.0])]
