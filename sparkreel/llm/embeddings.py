@@ -22,8 +22,11 @@ from .common import map_rows, materialise
 from .components import connected_components, join_labels
 
 THRESHOLD = 0.9
-#: Vectors in a tile, about, and how many times as many visitors a group has at most, about.
-TILE_ROWS, VISITORS = 1024, 8
+#: Vectors in a tile, about: ``TILE_ROOT`` times the root of their number, so that copies and groups
+#: both grow with the root where nothing can be pruned; at least, and at most in bytes of a tile.
+TILE_ROOT, MIN_TILE_ROWS, TILE_BYTES = 16, 1024, 16 << 20
+#: How many times as many visitors a group has at most, about.
+VISITORS = 4
 #: The k-d tree is fitted on so many vectors at most; every vector is dealt out and compared.
 SAMPLE_ROWS = 16384
 #: Leaves of the tree at most, which bounds the boxes (1 MB) that the driver gathers and tasks carry. Larger leaves have several tiles.
@@ -189,7 +192,7 @@ class Leaves:
         return np.nonzero((best >= self.threshold - _EPS) & (np.arange(len(self.leaf))[None] > home[:, None]))
 
 
-def _compare(classes: DataFrame, dim: int, threshold: float, tile_rows: int) -> DataFrame:
+def _compare(classes: DataFrame, dim: int, threshold: float, tile_rows: int | None) -> DataFrame:
     """``(id, links, root)``: what each tile found, for the classes of one dimension.
 
     A vector is a member of one tile of its leaf, and visits the other tiles it may have links in:
@@ -199,6 +202,7 @@ def _compare(classes: DataFrame, dim: int, threshold: float, tile_rows: int) ->
     """
     axes, lead = principal_axes(classes, dim), min(LEAD, dim)
     leaves, count = 1, classes.count()
+    tile_rows = tile_rows or max(1, min(max(MIN_TILE_ROWS, int(TILE_ROOT * count**0.5)), TILE_BYTES // (8 * dim)))
     while leaves < min(MAX_LEAVES, count / tile_rows):
         leaves *= 2
     picked = classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("embedding").toArrow()
@@ -270,7 +274,7 @@ def near_duplicate_vectors(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     threshold: float = THRESHOLD,
-    tile_rows: int = TILE_ROWS,
+    tile_rows: int | None = None,
 ) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, one row per vector, whatever its other columns.
 

@@ -37,7 +37,7 @@ BUCKETS = 64
 #: Bytes of text in a block, about; a longer document is a block of its own.
 BLOCK_BYTES = 16 << 20
 #: EM stops when no weight moves by more than this, or after so many rounds.
-TOLERANCE, ROUNDS = 1e-3, 60
+TOLERANCE, ROUNDS = 2e-3, 40
 
 
 def pack_ints(x: np.ndarray) -> bytes:
@@ -243,7 +243,7 @@ def _deleted_tokens(order: int):
 
 
 def fit_weights(tokens: DataFrame, order: int, n: int, v: int) -> np.ndarray:
-    """Weights by (order - 1, bucket) from ``tokens(c0.., h1.., n)``, by EM; every round is one aggregate.
+    """Weights by (order - 1, bucket) from ``tokens(c0.., h1.., n)``, by EM; every round is one aggregate over equal counts.
 
     A token is made by the estimate of its longest history with that history's weight, or else
     handed down to the next shorter one. Histories that were never seen hand everything down; a
@@ -251,24 +251,38 @@ def fit_weights(tokens: DataFrame, order: int, n: int, v: int) -> np.ndarray:
     """
     weights = np.full((order, BUCKETS), 0.5)
     seen: list[set[int]] = [set() for _ in range(order)]
-    count = lambda c: F.col(c).cast("double")
-    spread = [F.lit(0)] + [F.when(F.col(f"h{k}") > 0, F.length(F.bin(f"h{k}"))).otherwise(0) for k in range(1, order)]
-    shares = [count("c0") / max(n, 1)] + [F.when(F.col(f"h{k}") > 0, count(f"c{k}") / count(f"h{k}")).otherwise(0.0) for k in range(1, order)]
-    rows = materialise(tokens.select("n", *[x.alias(f"b{k}") for k, x in enumerate(spread)], *[x.alias(f"p{k}") for k, x in enumerate(shares)]).groupBy([f"b{k}" for k in range(order)] + [f"p{k}" for k in range(order)]).agg(F.sum("n").alias("n")), "tokens")
+    counts = [f"{c}{k}" for c in "ch" for k in range(order) if c == "c" or k]
+    rows = materialise(tokens.groupBy(counts).agg(F.sum("n").alias("n")), "tokens")
+
+    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many tokens reach each order's bucket, and how many are made there, under the weights so far."""
+        made, reached = np.zeros((2, order * BUCKETS))
+        for batch in batches:
+            own = [batch.column(k).to_numpy() for k in range(order)]
+            histories = [batch.column(order + k).to_numpy() for k in range(order - 1)]
+            at, share, p = [], [], [np.full(batch.num_rows, 1 / (v + 1))]
+            for k in range(order):
+                history = histories[k - 1] if k else np.full(batch.num_rows, n)
+                at.append(k * BUCKETS + (bucket(history) if k else 0))
+                w = weights.ravel()[at[k]]
+                share.append(w * own[k] / np.maximum(history, 1))
+                p.append(share[k] + (1 - w) * p[-1])
+            reach = batch.column(2 * order - 1).to_numpy().astype(np.float64)
+            for k in reversed(range(order)):
+                here = reach * share[k] / p[k + 1]
+                for total, x in ((made, here), (reached, reach)):
+                    total += np.bincount(at[k] + np.zeros(len(x), np.int64), x, order * BUCKETS)
+                reach = reach - here
+        some = np.flatnonzero(reached)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(made[some]), pa.array(reached[some])], ["at", "made", "reached"])
+
     weights[1:, 0] = 0.0
     for _ in range(ROUNDS):
-        w = [F.element_at(F.array(*map(F.lit, map(float, weights[k]))), F.col(f"b{k}") + 1) for k in range(order)]
-        p = [F.lit(1 / (v + 1))]
-        for k in range(order):
-            p.append(w[k] * F.col(f"p{k}") + (1 - w[k]) * p[-1])
-        reach, parts = F.col("n").cast("double"), []
-        for k in reversed(range(order)):
-            made = reach * w[k] * F.col(f"p{k}") / p[k + 1]
-            parts.append(F.struct(F.lit(k).alias("k"), F.col(f"b{k}").alias("b"), made.alias("made"), reach.alias("reach")))
-            reach = reach - made
-        sums = rows.select(F.explode(F.array(*parts)).alias("x")).groupBy("x.k", "x.b").agg(F.sum("x.made"), F.sum("x.reach")).collect()  # order * BUCKETS rows
+        # A new closure a round carries the weights, so that Spark has no expression to compile anew.
+        sums = map_rows(rows, "at long, made double, reached double", expect).groupBy("at").agg(F.sum("made"), F.sum("reached")).collect()  # order * BUCKETS rows
         last = weights.copy()
-        for k, b, made, reached in sums:
+        for at, made, reached in sums:
+            k, b = divmod(at, BUCKETS)
             if k == 0 or b:
                 weights[k, b] = (made + 0.5) / (reached + 1)  # one token spread evenly keeps both ways open
                 seen[k].add(b)
