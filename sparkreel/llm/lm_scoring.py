@@ -35,7 +35,7 @@ DELETED_ONE_IN = 20
 #: Buckets of a history's count: 0, then one for each power of two of a 63-bit count.
 BUCKETS = 64
 #: Bytes of text in a block, about; a longer document is a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 #: EM stops when no weight moves by more than this, or after so many rounds.
 TOLERANCE, ROUNDS = 2e-3, 40
 
@@ -136,7 +136,7 @@ class Block:
             before[self.starts] = np.uint64(k)  # no other history looks like the one before a document
             gram = _mix(word + np.uint64(1)) if k == 1 else _mix(_mix(before + np.uint64(k)) + word)
             hashes, place = np.unique(gram, return_inverse=True)
-            self.kinds.append((hashes, place))
+            self.kinds.append((hashes, place.astype(np.int32)))
 
     def trained(self, kind: int) -> np.ndarray:
         """How often each n-gram occurs in training documents."""
