@@ -16,8 +16,8 @@ ASK = "Only give the best option."
 
 
 def strip(text: Column) -> Column:
-    """Without white space at either end, Unicode white space included."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without white space at either end, Unicode white space and the ASCII separators included."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def option_letter(text: Column) -> Column:
@@ -47,9 +47,9 @@ def format_answer(answer: Column, candidates: Column) -> Column:
 
 
 def format_question(question: Column, candidates: Column) -> Column:
-    """The question and its lettered options, a line each."""
-    options = F.transform(candidates, lambda c, i: F.concat(F.lit("("), _letter(i + 1), F.lit(") "), c))
-    return strip(F.concat_ws("\n", F.concat(F.lit("Question: "), question), F.lit("Options:"), options))
+    """The question and its lettered options, a line each; a null question or option is an empty one."""
+    options = F.transform(candidates, lambda c, i: F.concat(F.lit("("), _letter(i + 1), F.lit(") "), F.coalesce(c, F.lit(""))))
+    return strip(F.concat_ws("\n", F.concat(F.lit("Question: "), F.coalesce(question, F.lit(""))), F.lit("Options:"), options))
 
 
 def conversation(question: Column, candidates: Column, include_system: bool = True, frames: Column | None = None) -> Column:

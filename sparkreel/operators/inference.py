@@ -6,9 +6,11 @@ A predictor is a function made once in each Python worker by ``make()``; it take
 
 from __future__ import annotations
 
+import hashlib
 import traceback
 from collections.abc import Callable, Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,23 @@ class OutOfMemory(RuntimeError):
     """What a predictor raises if a batch doesn't fit."""
 
 
+_MADE: dict[str, object] = {}
+
+
+def once_a_process(make: Callable[[], object]) -> Callable[[], object]:
+    """``make`` so that a Python worker process calls it once, however many tasks it runs."""
+    key = hashlib.md5(cloudpickle.dumps(make)).hexdigest()
+
+    def get():
+        from sparkreel.operators import inference
+
+        if key not in inference._MADE:
+            inference._MADE[key] = make()
+        return inference._MADE[key]
+
+    return get
+
+
 def degrade(predict: Predict, items: list[dict]) -> list[str]:
     """Answers in order; a batch that doesn't fit is halved, down to single items."""
     try:
@@ -46,7 +65,9 @@ def predict_rounds(rounds: DataFrame, samples: DataFrame, make: Callable[[], Pre
     """Results of every round: prediction or error, and token counts.
 
     ``input_tokens`` is the longest of the batch, as a padded batch is what the model reads.
+    ``make`` runs once in each Python worker process.
     """
+    make = once_a_process(make)
 
     def run(batches: Iterator):
         import pandas as pd

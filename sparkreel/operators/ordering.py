@@ -19,6 +19,11 @@ def by_sample_id(results: DataFrame) -> DataFrame:
     return results.orderBy("sample_id")
 
 
+def tasks_by_name(samples: DataFrame) -> DataFrame:
+    """``(task_type, samples, frames)`` in order of the names."""
+    return samples.groupBy("task_type").agg(F.count("*").alias("samples"), F.sum("total_frames").alias("frames")).orderBy("task_type")
+
+
 def at_index(samples: DataFrame, index: int) -> DataFrame:
     return samples.where(F.col("sample_index") == index)
 

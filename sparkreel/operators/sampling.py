@@ -92,10 +92,10 @@ def seeded_rounds(samples: DataFrame, config: MiningConfig) -> DataFrame:
 
 
 def validate_rounds(rounds: DataFrame, samples: DataFrame, budget_k: int) -> DataFrame:
-    """``(sample_id, sample_index, valid)``: exact size, ascending, inside the video, no frame twice."""
+    """``(sample_id, sample_index, valid)``: exact size, ascending, inside the video, no frame twice or null."""
     f = F.col("frame_indices")
     checked = rounds.join(samples.select("sample_index", "total_frames"), "sample_index").withColumn(
-        "fine", (F.size(f) == budget_k) & (f == F.array_sort(f)) & F.forall(f, lambda x: (x >= 0) & (x < F.col("total_frames")))
+        "fine", F.coalesce((F.size(f) == budget_k) & (f == F.array_sort(f)) & F.forall(f, lambda x: (x >= 0) & (x < F.col("total_frames"))), F.lit(False))
     )
     frames = checked.select("sample_id", "sample_index", "fine", F.explode("frame_indices").alias("frame"))
     return frames.groupBy("sample_id", "sample_index", "frame").agg(F.bool_and("fine").alias("fine"), F.count("*").alias("times")).groupBy("sample_id", "sample_index").agg(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import MiningConfig
 from ..functions import answer_matches
 from ..functions.answers import LETTER_PATTERNS
+from .inference import once_a_process
 
 
 def enough(hits: Column, misses: Column, config: MiningConfig) -> Column:
@@ -62,18 +63,22 @@ def stop_early(results: DataFrame, samples: DataFrame, config: MiningConfig, flu
 def ask_until_enough(
     rounds: DataFrame,
     samples: DataFrame,
-    predict: Callable[[dict, list[tuple[int, list[int]]]], list[str | None]],
+    predict: Callable[[dict, list[tuple[int, list[int]]]], list[str | None]] | None,
     config: MiningConfig,
     flush_tail: bool = True,
     match: str = "exact",
+    make: Callable[[], Callable] | None = None,
 ) -> DataFrame:
     """The same rows, for a predictor that costs: a sample's batches are asked in turn until it has enough.
 
-    ``predict(sample, [(round_id, frames), ..])`` runs in the task. A sample is one group: its rounds
+    ``predict(sample, [(round_id, frames), ..])`` runs in the task; with ``make`` instead it is made
+    once in each Python worker process. A sample is one group: its rounds
     are bounded by ``max_iterations``. An exception makes one row with ``error`` and no prediction.
     """
     b, least_pos, least_neg, limit, k = config.batch_size, config.min_pos_samples, config.min_neg_samples, config.round_limit, config.budget_k
 
+    get = once_a_process(make) if make else lambda: predict
+
     def letter(text: str | None) -> str | None:
         found = (re.search(p, (text or "").strip()) for p in LETTER_PATTERNS)
         return next((m.group(1).upper() for m in found if m), None)
@@ -93,7 +98,7 @@ def ask_until_enough(
                 asked = min(at + b, generated)
                 if len(part) < b and not flush_tail and generated < expected:
                     break
-                answers = predict(sample, [(int(r), list(f)) for r, f in zip(part["round_id"], part["frame_indices"])])
+                answers = get()(sample, [(int(r), list(f)) for r, f in zip(part["round_id"], part["frame_indices"])])
                 rows += list(zip(part["round_id"], part["frame_indices"], answers))
                 for a in answers:
                     hit = (letter(a) is not None and letter(a) == letter(truth)) if match == "letter" else a is not None and a == truth

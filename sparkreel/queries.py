@@ -332,6 +332,193 @@ def mining_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return buckets.per_task_stats(m)
 
 
+def _shared(spark: SparkSession, name: str) -> str:
+    """A fresh folder that driver and executors share."""
+    import uuid
+
+    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as videos whose names hold what paths and URLs treat apart."""
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_regionkey", "n_name")
+    name = F.concat("n_name", F.element_at(F.array(*map(F.lit, ODD_NAMES)), (F.col("n_nationkey") % 5 + 1).cast("int")))
+    return n.withColumns({"video_name": name, "video_path": F.concat(F.lit("/v/"), name, F.lit(".mp4")), "total_frames": (F.col("n_nationkey") % 4).cast("long")})
+
+
+ODD_NAMES = ("", " a+b", " 50%off", "#1", " é日")
+_NATIONS = """n AS (SELECT *, concat('/v/', video_name, '.mp4') AS video_path FROM (
+  SELECT cast(n_nationkey AS bigint) AS k, cast(n_regionkey AS bigint) AS r, concat(n_name, ['', ' a+b', ' 50%off', '#1', ' é日'][n_nationkey % 5 + 1]) AS video_name, cast(n_nationkey % 4 AS bigint) AS total_frames FROM nation))"""
+
+
+def _image(path: str, frames_: list[int]):
+    """Stands for a video decoder; frame 2 of a video can't be read."""
+    for f in frames_:
+        if f != 2:
+            yield f, f"{path}:{f}".encode()
+
+
+def list_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of all videos written to files, and the files listed."""
+    from .sources.frames import extract_frames, list_frames
+
+    folder, v = _shared(spark, "frames"), _nations(spark, sf_dir)
+    wanted = v.where("total_frames > 0").select("video_path", "video_name", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total_frames") - 1)).alias("frame_index"))
+    extract_frames(wanted, _image, folder).write.format("noop").mode("overwrite").save()
+    return list_frames(spark, folder)
+
+
+def extract_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each frame in a second run, after the first wrote all that can be read."""
+    from .sources.frames import extract_frames, list_frames
+
+    folder, v = _shared(spark, "frames"), _nations(spark, sf_dir)
+    wanted = v.where("total_frames > 0").select("video_path", "video_name", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total_frames") - 1)).alias("frame_index"))
+    extract_frames(wanted.where("frame_index = 0"), _image, folder).write.format("noop").mode("overwrite").save()
+    return extract_frames(frames.frames_to_extract(wanted, list_frames(spark, folder)), _image, folder)
+
+
+def decode_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sources.frames import whole_videos
+
+    return whole_videos(_nations(spark, sf_dir).select("video_path", "total_frames"), _image).withColumn("image", F.col("image").cast("string"))
+
+
+def decode_at_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sources.frames import decode_frames
+
+    wanted = _nations(spark, sf_dir).select("video_path", F.explode(F.array(F.lit(2).cast("long"), F.col("n_nationkey").cast("long"), F.lit(99).cast("long"))).alias("frame_index")).distinct()
+    return decode_frames(wanted, _image, 20).withColumn("image", F.col("image").cast("string"))
+
+
+def probe_frame_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame counts by a probe that fails for some videos."""
+    from .sources.annotations import probe_frame_counts
+
+    def probe(path: str) -> int:
+        if "#" in path:
+            raise OSError(path)
+        return len(path)
+
+    return probe_frame_counts(_nations(spark, sf_dir).select("video_path"), probe)
+
+
+def annotation_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Question files (one a region, one more missing) to samples of videos that have frames."""
+    import json
+
+    from .sources.annotations import build_samples, read_annotations
+    from pyarrow import fs
+
+    folder = _shared(spark, "questions")
+    files, path = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+    files.create_dir(path, recursive=True)
+    rows = _nations(spark, sf_dir).orderBy("n_nationkey").collect()  # 25 nations
+    tasks = [f"{r} t+{r}%" for r in range(5)]
+    for r, task in enumerate(tasks):
+        items = [{"video": x["video_name"] + ".mp4", "question": f"Q{x['n_nationkey']}?", "candidates": ["Red", x["n_name"]], "answer": x["n_name"]} | ({"question_type": "own", "duration": 1.5} if x["n_nationkey"] % 3 == 0 else {}) for x in rows if x["n_regionkey"] == r]
+        with files.open_output_stream(f"{path}/{task}.json") as out:
+            out.write(json.dumps(items).encode())
+    items = read_annotations(spark, folder, [*tasks, "missing"])
+    counts = _nations(spark, sf_dir).select(F.concat(F.lit("/v/"), F.concat(F.col("n_regionkey").cast("string"), F.lit(" t+"), F.col("n_regionkey").cast("string"), F.lit("%/")), "video_name", F.lit(".mp4")).alias("video_path"), "total_frames")
+    return build_samples(items, "/v", counts).withColumn("candidates", F.array_join("candidates", ","))
+
+
+def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.videos(records(spark, sf_dir))
+
+
+def extraction_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.extraction_totals(extraction_summary(spark, sf_dir))
+
+
+def record_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a record file after it is written, appended to and cleared."""
+    from .sources.records import append_records, clear_records, count_records, mined_records, write_records
+
+    path, r = _shared(spark, "records"), mined_records(records(spark, sf_dir), BASE)
+    absent, written = count_records(spark, path), write_records(r, path)
+    appended = append_records(r, path)
+    lines = count_records(spark, path)
+    clear_records(spark, path)
+    return spark.createDataFrame([(absent, written, appended, lines, count_records(spark, path))], "absent long, written long, appended long, lines long, cleared long")
+
+
+def conversations_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of each sample as JSON, with three frames put in."""
+    from .functions import conversation
+
+    chat = conversation(F.col("question"), F.col("candidates"), True, F.array(*[F.lit(x).cast("long") for x in (1, 2, 3)]))
+    return samples(spark, sf_dir).select("sample_index", F.to_json(chat).alias("messages"))
+
+
+def config_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hash of a whole configuration, for several seeds."""
+    digest = F.udf(lambda seed: MiningConfig(random_seed=seed).digest())
+    return spark.read.parquet(f"{sf_dir}/region.parquet").select(F.col("r_regionkey").cast("long").alias("seed"), digest(F.col("r_regionkey")).alias("config_hash"))
+
+
+def _config_digest_sql() -> str:
+    import json
+
+    before, after = json.dumps(CONFIG.to_dict(), sort_keys=True).split('"random_seed": 42')
+    return f"SELECT cast(r_regionkey AS bigint) AS seed, substr(md5(concat('{before}\"random_seed\": ', r_regionkey, '{after}')), 1, 16) AS config_hash FROM region"
+
+
+def predict_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model that is made once, takes three rounds at a time at most, and fails on some."""
+    from .operators.inference import OutOfMemory, predict_rounds
+
+    known = ANSWERS
+
+    def make():
+        def answer(items: list[dict]) -> list[str]:
+            if len(items) > 3:
+                raise OutOfMemory
+            kinds = [sum(i["frame_indices"]) % 11 for i in items]
+            if 10 in kinds:
+                raise RuntimeError("failed")
+            return [f" {known[k]} " for k in kinds]
+
+        return answer
+
+    s = samples(spark, sf_dir)
+    out = predict_rounds(sampling.generate_rounds(s, CONFIG), s, make, CONFIG.batch_size)
+    return out.select("sample_id", "round_id", "prediction", "input_tokens", "output_tokens", "num_frames", "error")
+
+
+def sample_at_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.at_index(samples(spark, sf_dir), 17).select("sample_id", "sample_index", "total_frames")
+
+
+def sample_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = samples(spark, sf_dir)
+    return ordering.by_id(s.withColumn("sample_id", F.col("task_type")), "t_en").select("sample_id", "sample_index")
+
+
+def picked_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = samples(spark, sf_dir)
+    return ordering.pick(s, s.where("total_frames % 3 = 0").select("sample_index")).select("sample_id", "sample_index")
+
+
+def samples_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.by_sample_id(samples(spark, sf_dir).select("sample_id", "sample_index"))
+
+
+def tasks_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.tasks_by_name(samples(spark, sf_dir))
+
+
+def invalid_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds of which some are out of order, of another size, outside the video, or drawn twice."""
+    s = samples(spark, sf_dir)
+    f, kind = F.col("frame_indices"), F.col("sample_index") % 6
+    spoilt = F.when(kind == 1, F.reverse(f)).when(kind == 2, F.slice(f, 1, 3)).when(kind == 3, F.transform(f, lambda x: x + 1_000_000_000)).when(kind == 4, F.array_repeat(f[0], 16)).when(kind == 5, F.concat(F.slice(f, 1, 15), F.array(F.lit(None).cast("long")))).otherwise(f)
+    rounds = sampling.generate_rounds(s, CONFIG).withColumn("frame_indices", spoilt)
+    return sampling.validate_rounds(rounds, s, CONFIG.budget_k).select("sample_index", "valid")
+
+
 _TASKS = """SELECT task_type, cast(count(*) AS bigint) AS total_samples,
   cast(count_if(pos_count > 0 AND neg_count > 0) AS bigint) AS has_both, cast(count_if(pos_count > 0 AND neg_count = 0) AS bigint) AS all_correct,
   cast(count_if(pos_count = 0 AND neg_count > 0) AS bigint) AS all_incorrect, cast(count_if(pos_count + neg_count = 0) AS bigint) AS no_valid_results,
@@ -387,6 +574,24 @@ def queries() -> dict[str, Query]:
         "results_sorted": results_sorted,
         "config_hash": config_hash,
         "mining_end_to_end": mining_end_to_end,
+        "list_frames": list_frames,
+        "extract_status": extract_status,
+        "decode_whole": decode_whole,
+        "decode_at_indices": decode_at_indices,
+        "probe_frame_counts": probe_frame_counts,
+        "annotation_samples": annotation_samples,
+        "videos": videos,
+        "extraction_totals": extraction_totals,
+        "record_file_counts": record_file_counts,
+        "conversation": conversations_,
+        "config_digest": config_digest,
+        "predict_rounds": predict_rounds,
+        "sample_at_index": sample_at_index,
+        "sample_by_id": sample_by_id,
+        "picked_samples": picked_samples,
+        "samples_in_order": samples_in_order,
+        "tasks_by_name": tasks_by_name,
+        "invalid_rounds": invalid_rounds,
     }
 
 
@@ -447,4 +652,37 @@ def oracle_sql() -> dict[str, str]:
         "results_sorted": f"WITH {_SAMPLES} SELECT task_type, sample_id, row_number() OVER (PARTITION BY task_type ORDER BY sample_id) AS place FROM samples",
         "config_hash": "SELECT r_regionkey, substr(md5(concat('{\"budget_k\":', r_regionkey, ',\"model_name\":\"', r_name, '\"}')), 1, 16) AS config_hash FROM region",
         "mining_end_to_end": _END_TO_END,
+        "list_frames": f"WITH {_NATIONS} SELECT video_name, f AS frame_index FROM (SELECT video_name, unnest(range(0, total_frames)) AS f FROM n) WHERE f <> 2",
+        "extract_status": f"WITH {_NATIONS} SELECT video_path, video_name, f AS frame_index, CASE f WHEN 2 THEN 'failed' ELSE 'success' END AS status FROM (SELECT *, unnest(range(0, total_frames)) AS f FROM n) WHERE f <> 0",
+        "decode_whole": f"WITH {_NATIONS} SELECT video_path, f AS frame_index, concat(video_path, ':', f) AS image FROM (SELECT *, unnest(range(0, total_frames)) AS f FROM n) WHERE f <> 2",
+        "decode_at_indices": f"WITH {_NATIONS} SELECT video_path, k AS frame_index, concat(video_path, ':', k) AS image FROM n WHERE k <> 2 AND k < 20",
+        "probe_frame_counts": f"WITH {_NATIONS} SELECT video_path, cast(CASE WHEN contains(video_path, '#') THEN -1 ELSE length(video_path) END AS bigint) AS total_frames FROM n",
+        "annotation_samples": f"""WITH {_NATIONS}, i AS (SELECT *, concat(r, ' t+', r, '%') AS task, row_number() OVER (PARTITION BY r ORDER BY k) - 1 AS position FROM n)
+            SELECT concat(task, '_', position) AS sample_id, cast(row_number() OVER (ORDER BY r, position) - 1 AS bigint) AS sample_index,
+              CASE WHEN k % 3 = 0 THEN 'own' ELSE task END AS task_type, concat('/v/', task, '/', video_name, '.mp4') AS video_path, concat(video_name, '.mp4') AS video_filename,
+              concat('Q', k, '?') AS question, concat('Red,', n_name) AS candidates, n_name AS answer, concat('(B) ', n_name) AS formatted_answer,
+              CASE WHEN k % 3 = 0 THEN 1.5::double ELSE 0.0::double END AS duration, total_frames
+            FROM i JOIN nation ON n_nationkey = k WHERE total_frames > 0""",
+        "videos": f"""WITH {_SAMPLES}, v AS (SELECT video_path, regexp_extract(video_path, '([^/]+?)(\\.[^./]+)?/*$', 1) AS video_name, count(*) AS sample_count, arg_min(total_frames, sample_index) AS total_frames FROM samples GROUP BY 1)
+            SELECT video_path, video_name, cast(sample_count AS bigint) AS sample_count, total_frames, count(*) OVER (PARTITION BY video_name) > 1 AS stem_collision FROM v""",
+        "extraction_totals": f"""WITH {_WANTED}, {_EXISTING}, todo AS (SELECT * FROM w ANTI JOIN existing USING (video_name, frame_index)),
+            v AS (SELECT DISTINCT video_path, video_name FROM w), have AS (SELECT video_name, count(*) AS n FROM existing GROUP BY 1)
+            SELECT cast((SELECT count(*) FROM v) AS bigint) AS total_videos, cast((SELECT count(*) FROM w) AS bigint) AS total_frames,
+              cast((SELECT count_if(frame_index % 7 <> 0) FROM todo) AS bigint) AS extracted_frames, cast((SELECT sum(n) FROM v JOIN have USING (video_name)) AS bigint) AS skipped_frames,
+              cast((SELECT count_if(frame_index % 7 = 0) FROM todo) AS bigint) AS failed_frames""",
+        "record_file_counts": "SELECT cast(0 AS bigint) AS absent, count(*) AS written, count(*) AS appended, 2 * count(*) AS lines, cast(0 AS bigint) AS cleared FROM documents",
+        "conversation": simple("""concat('[{"role":"system","text":"', 'Carefully watch this video and pay attention to every detail. Based on your observations, select the best option that accurately addresses the question.',
+            '"},{"role":"user","content":[{"type":"video","video":[1,2,3]},{"type":"text","text":"Question: ', question, '\\nOptions:\\n(A) Red\\n(B) Green\\n(C) Blue\\n(D) Yellow\\nOnly give the best option."}]}]') AS messages"""),
+        "config_digest": _config_digest_sql(),
+        "predict_rounds": f"""WITH {_ROUNDS}, k AS (SELECT *, cast(list_sum(frames) % 11 AS bigint) AS kind FROM rounds)
+            SELECT sample_id, cast(round_id AS integer) AS round_id, a AS prediction, CASE WHEN kind < 10 THEN cast(4 AS integer) END AS input_tokens,
+              CASE WHEN kind < 10 THEN cast(len(list_filter(string_split(a, ' '), lambda x: x <> '')) AS integer) END AS output_tokens, CASE WHEN kind < 10 THEN cast(16 AS integer) END AS num_frames,
+              CASE WHEN kind = 10 THEN 'RuntimeError: failed' END AS error
+            FROM (SELECT *, ['(A) Red', '(B) Green', '(C) Blue', '(D) Yellow', 'A', 'The answer is C', 'Best Option: (D)', 'Option B', 'zzz', '', NULL][kind + 1] AS a FROM k)""",
+        "sample_at_index": f"WITH {_SAMPLES} SELECT sample_id, sample_index, total_frames FROM samples WHERE sample_index = 17",
+        "sample_by_id": f"WITH {_SAMPLES} SELECT task_type AS sample_id, min(sample_index) AS sample_index FROM samples WHERE task_type = 't_en' GROUP BY 1",
+        "picked_samples": f"WITH {_SAMPLES} SELECT sample_id, sample_index FROM samples WHERE total_frames % 3 = 0",
+        "samples_in_order": f"WITH {_SAMPLES} SELECT sample_id, sample_index FROM samples ORDER BY 1",
+        "tasks_by_name": f"WITH {_SAMPLES} SELECT task_type, count(*) AS samples, cast(sum(total_frames) AS bigint) AS frames FROM samples GROUP BY 1 ORDER BY 1",
+        "invalid_rounds": f"WITH {_ROUNDS} SELECT DISTINCT sample_index, sample_index % 6 = 0 AS valid FROM rounds",
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,31 +31,34 @@ def read_annotations(spark: SparkSession, json_dir: str, tasks: list[str] | tupl
     """``(task_order, task, position, item)``: one row per item of each ``{task}.json``.
 
     Each file is one JSON array; the position in the file is part of an item's id, so the text is
-    parsed as a whole and exploded with positions. A missing file is skipped.
+    parsed as a whole and exploded with positions. A missing file is skipped. Task names may hold any
+    character: each file is read under its own.
     """
-    files = existing_paths(spark, [f"{json_dir.rstrip('/')}/{t}.json" for t in tasks])
-    if not files:
-        return spark.createDataFrame([], f"task_order int, task string, position int, item {ANNOTATIONS[6:-1]}")
-    text = spark.read.text(files, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1).alias("file"), "value")
-    names = spark.createDataFrame(list(enumerate(tasks)), "task_order int, task string")  # a row per task file
     items = F.posexplode(F.from_json("value", ANNOTATIONS, {"mode": "FAILFAST"})).alias("position", "item")
-    return text.select(F.url_decode("file").alias("task"), items).join(F.broadcast(names), "task").select("task_order", "task", "position", "item")
+    out = spark.createDataFrame([], f"task_order int, task string, position int, item {ANNOTATIONS[6:-1]}")
+    for order, task in enumerate(tasks):  # a few files
+        for path in existing_paths(spark, [re.sub(r"([\[\]{}*?\\])", r"\\\1", f"{json_dir.rstrip('/')}/{task}.json")]):
+            out = out.union(spark.read.text(path, wholetext=True).select(F.lit(order).alias("task_order"), F.lit(task).alias("task"), items))
+    return out
 
 
 def build_samples(items: DataFrame, video_dir: str, metadata: DataFrame) -> DataFrame:
     """Samples of items whose video is in ``metadata(video_path, total_frames)`` with frames in it.
 
-    ``sample_id`` counts items of a file before any are skipped, ``sample_index`` all samples after.
+    ``sample_id`` counts items of a file before any are skipped, ``sample_index`` all samples after:
+    a file's samples are numbered on their own and shifted by the counts of the files before.
     """
     named = items.select(
         "task_order", "task", "position", F.col("item.*"),
         join_path(F.lit(video_dir), F.col("task"), F.col("item.video")).alias("video_path"),
     )
     kept = named.join(metadata.where("total_frames > 0").select("video_path", "total_frames"), "video_path")
-    spread = W.orderBy("task_order", "position")
-    return kept.select(
+    before = W.orderBy("task_order").rowsBetween(W.unboundedPreceding, -1)  # a row a file
+    shift = kept.groupBy("task_order").count().select("task_order", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("shift"))
+    own = F.row_number().over(W.partitionBy("task_order").orderBy("position")) - 1
+    return kept.withColumn("own", own).join(shift, "task_order").select(
         sample_id(F.col("task"), F.col("position")).alias("sample_id"),
-        (F.row_number().over(spread) - 1).cast("long").alias("sample_index"),
+        (F.col("own") + F.col("shift")).cast("long").alias("sample_index"),
         F.coalesce("question_type", "task").alias("task_type"),
         "video_path",
         F.col("video").alias("video_filename"),

@@ -22,20 +22,20 @@ RUN = 2048
 
 
 def list_frames(spark: SparkSession, folder: str) -> DataFrame:
-    """``(video_name, frame_index)`` of ``folder/{video}/{number}.jpg``; other names are left out.
+    """``(video_name, frame_index)`` of ``folder/{video}/{number}.jpg``, one level deep; other names are left out.
 
-    Only paths are read, not the files.
+    Only paths are read, not the files. Names are taken as they are, whatever characters they hold.
     """
     from pyspark.errors import AnalysisException
 
     try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jpg").option("recursiveFileLookup", "true").load(folder)
+        files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/*/*.jpg")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], EXISTING_FRAMES)
     parts = F.split("path", "/")
-    named = files.select(F.url_decode(F.element_at(parts, -2)).alias("video_name"), F.expr("try_cast(regexp_extract(path, '([^/]+)\\\\.jpg$', 1) as bigint)").alias("frame_index"))
+    named = files.select(F.element_at(parts, -2).alias("video_name"), F.expr("try_cast(regexp_extract(path, '([^/]+)\\\\.jpg$', 1) as bigint)").alias("frame_index"))
     return named.where(F.col("frame_index").isNotNull())
 
 

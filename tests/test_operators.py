@@ -297,3 +297,28 @@ def test_stream_appends_new_frames(spark, tmp_path):
         (folder / f"{number}.json").write_text("\n".join(json.dumps(r) for r in rows))
         append_frames(spark, str(folder), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
     assert sorted(r["frame_index"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
+
+
+def test_a_model_is_made_once_a_process(spark, tmp_path):
+    from sparkreel.operators.inference import once_a_process
+
+    log = str(tmp_path / "made")
+
+    def make():
+        import os
+
+        with open(log, "a") as file:
+            file.write(f"{os.getpid()}\n")
+        return lambda x: x + 1
+
+    get = once_a_process(make)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.assign(id=[get()(x) for x in batch["id"]])
+
+    for _ in range(2):
+        got = spark.range(0, 40, 1, 20).mapInPandas(run, "id long").collect()
+        assert sorted(r["id"] for r in got) == list(range(1, 41))
+    made = open(log).read().split()
+    assert made and len(made) == len(set(made))

@@ -1,6 +1,9 @@
 """The catalogue against its DuckDB twins on the smallest tables."""
 
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -49,3 +52,15 @@ def test_all_rounds_are_filled(spark):
             want.append((r["sample_id"], r["round_id"], position, frame, image))
     assert max(w[1] for w in want) > 3
     assert sorted(tuple(r) for r in catalogue.frame_fill_all(spark, SF).collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("leftover", [False, True])
+def test_entry_without_the_llm_folder(tmp_path, leftover):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(os.path.join(root, "sparkreel"), tmp_path / "sparkreel", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
+    if leftover:
+        (tmp_path / "sparkreel/llm/__pycache__").mkdir(parents=True)
+    code = "import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') and n[2].isdigit() for n in e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True).stdout
+    assert out.split() == [str(len(catalogue.queries())), "False"]
