@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIRS: dict[str, str] = {}
+#: The setting that bounds the bytes of rows that go to a Python worker at a time, and its value where the session has none.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -69,6 +71,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def map_rows(
     df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 ) -> DataFrame:
+    """``mapInArrow`` over batches bounded by bytes too: 10,000 long texts at a time would not fit."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 

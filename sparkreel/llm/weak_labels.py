@@ -28,7 +28,7 @@ THRESHOLD = 0.5
 #: The step of the scorer's fit.
 RATE = 0.3
 #: Words in a window of the share of distinct words, and bytes of texts taken at a time.
-WINDOW, SLICE_BYTES = 100, 2 << 20
+WINDOW, SLICE_BYTES = 100, 1 << 19
 
 #: Common words of the corpus languages (English, German, French, Spanish).
 COMMON = sorted(
