@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import written
+
+#: ``monotonically_increasing_id`` keeps the row's number within its partition in so many low bits.
+ROW_BITS = 33
+
 
 def worker_of(position: str, count: int, workers: int) -> Column:
     """The worker of a position when ``count`` positions are cut into equal runs; the last takes the rest."""
@@ -40,3 +47,23 @@ def pick(samples: DataFrame, indices: list[int] | DataFrame | None) -> DataFrame
     if isinstance(indices, DataFrame):
         return samples.join(indices.select("sample_index").distinct(), "sample_index", "left_semi")
     return samples.where(F.col("sample_index").isin(list(indices)))
+
+
+def numbered(df: DataFrame, *order: Column | str, name: str = "position") -> DataFrame:
+    """``df`` with its place (from 0) in the order of ``order``, over all rows, without one window.
+
+    Rows are dealt out by ranges of ``order``, sorted and numbered within each range, and written;
+    a range's first place is the sum of the counts before it, one number a range. Ties are numbered
+    in any order, nulls as Spark sorts them; only rows that tie in all of ``order`` must share a range.
+    An empty table stays empty.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    table = written(ranged.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright(name, ROW_BITS)
+    counts: dict[int, int] = defaultdict(int, table.groupBy(part.alias("part")).count().collect())
+    firsts, total = [], 0
+    for at in range(max(counts, default=0) + 1):
+        firsts.append(F.lit(total).cast("long"))
+        total += counts[at]
+    row = F.col(name).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return table.withColumn(name, F.element_at(F.array(*firsts), (part + 1).cast("int")) + row)
