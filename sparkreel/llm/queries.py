@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embeddings, lm_scoring, packing, perplexity, pii, simhash, sstable, warc, weak_labels
+from . import bpe, embeddings, importance, lm_scoring, packing, perplexity, pii, simhash, sstable, warc, weak_labels
 from .common import read_table
 
 
@@ -53,8 +53,61 @@ def op10_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+#: CRC-32 with the reflected polynomial 0xEDB88320, eight steps a byte, as DuckDB has no such function.
+_IMPORTANCE = rf"""
+    WITH texts AS (
+      SELECT doc_id, 0 AS side, text FROM documents UNION ALL SELECT NULL, 1, text FROM benchmark
+    ), numbered AS (
+      SELECT row_number() OVER () AS k, doc_id, side,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+      FROM texts
+    ), tokens AS (
+      SELECT k, side, unnest(words) AS w FROM numbered
+    ), kinds AS (
+      SELECT DISTINCT w FROM tokens
+    ), crcs AS (
+      SELECT w, list_reduce(
+        list_transform(range(1, CAST(length(hex(encode(w))) AS BIGINT), 2), lambda i: ('0x' || substr(hex(encode(w)), i, 2))::UBIGINT),
+        lambda c, b: list_reduce(range(0, 8)::UBIGINT[], lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(c, b)),
+        4294967295::UBIGINT) AS c FROM kinds
+    ), hashed AS (
+      SELECT w, CAST(xor(c, 4294967295::UBIGINT) % 10000 AS BIGINT) AS bucket FROM crcs
+    ), cells AS (
+      SELECT k, side, bucket, count(*) AS n FROM tokens JOIN hashed USING (w) GROUP BY ALL
+    ), sums AS (
+      SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0) AS s, coalesce(sum(n) FILTER (side = 1), 0) AS t FROM cells GROUP BY 1
+    ), totals AS (
+      SELECT sum(s) AS here, sum(t) AS there FROM sums
+    ), gain AS (
+      SELECT bucket, CAST(floor(1000 * ln((CAST(t + 1 AS DOUBLE) * CAST(here + 10000 AS DOUBLE)) / (CAST(s + 1 AS DOUBLE) * CAST(there + 10000 AS DOUBLE)))) AS BIGINT) AS g
+      FROM sums, totals
+    ), weights AS (
+      SELECT k, CAST(sum(n * g) AS BIGINT) AS total, CAST(sum(n) AS BIGINT) AS n FROM cells JOIN gain USING (bucket) WHERE side = 0 GROUP BY 1
+    ), scored AS (
+      SELECT doc_id, len(words) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+        CASE WHEN n IS NULL THEN 0 ELSE total // n - CASE WHEN total % n < 0 THEN 1 ELSE 0 END END AS weight,
+        CAST(('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::UBIGINT AS DOUBLE) AS h
+      FROM numbered LEFT JOIN weights USING (k) WHERE side = 0
+    ), noisy AS (
+      SELECT *, CAST(weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM scored
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS many FROM noisy
+    )
+    SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight, score,
+      CASE WHEN n_words >= 20 AND place <= 10 * many // 100 THEN CAST(place AS BIGINT) END AS rank
+    FROM ranked
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_embeddings, op3_token_table, op4_perplexity, op5_warc, op6_pii, op7_packing, op8_weak_labels, op9_bpe, op10_interpolation)}
+    return {f.__name__: f for f in (
+        op1_simhash, op2_embeddings, op3_token_table, op4_perplexity, op5_warc, op6_pii, op7_packing, op8_weak_labels, op9_bpe, op10_interpolation,
+        op13_importance,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -93,4 +146,5 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN holder <> page_id THEN holder END AS refers_to
             FROM stored
         """,
+        "op13_importance": _IMPORTANCE,
     }
