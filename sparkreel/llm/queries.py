@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embeddings, importance, lm_scoring, packing, perplexity, pii, simhash, sstable, warc, weak_labels
+from . import bpe, embeddings, importance, lm_scoring, packing, perplexity, pii, simhash, sstable, tandem, warc, weak_labels
 from .common import read_table
 
 
@@ -53,6 +55,22 @@ def op10_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def periodic_part(name: str, n: int) -> np.ndarray | None:
+    """Of one document in ten, by its id, the words from some place on become copies of the first few from there."""
+    h = zlib.crc32(name.encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    at = np.arange(n)
+    return np.where(at < a, at, a + (at - a) % p)
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tandem.digests(tandem.mark_runs(read_table(spark, sf_dir, "documents"), rewrite=periodic_part))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -106,7 +124,7 @@ _IMPORTANCE = rf"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_embeddings, op3_token_table, op4_perplexity, op5_warc, op6_pii, op7_packing, op8_weak_labels, op9_bpe, op10_interpolation,
-        op13_importance,
+        op11_runs, op13_importance,
     )}
 
 
