@@ -162,6 +162,6 @@ def test_resampling_of_odd_rows(spark):
 
 def test_draws_follow_the_target(spark):
     docs = spark.range(400).selectExpr("id as doc_id", "if(id % 4 = 0, repeat('apple pear plum ', 10), repeat('iron steel zinc ', 10)) as text")
-    target = spark.createDataFrame([("apple pear plum cherry",)], "text string")
+    target = spark.range(500).selectExpr("'apple pear plum cherry' as text")  # few words would drown in the smoothing
     drawn = [r["doc_id"] for r in importance.resample(docs, target).where("rank is not null").collect()]
     assert len(drawn) == 40 and sum(i % 4 == 0 for i in drawn) > 32
