@@ -8,8 +8,9 @@ from collections.abc import Callable
 import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, embeddings, importance, lm_scoring, packing, perplexity, pii, simhash, sstable, tandem, warc, weak_labels
+from . import bpe, embeddings, importance, lm_scoring, packing, perplexity, pii, simhash, sstable, substrings, tandem, warc, weak_labels
 from .common import read_table
 
 
@@ -71,6 +72,11 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tandem.digests(tandem.mark_runs(read_table(spark, sf_dir, "documents"), rewrite=periodic_part))
 
 
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -124,7 +130,7 @@ _IMPORTANCE = rf"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_embeddings, op3_token_table, op4_perplexity, op5_warc, op6_pii, op7_packing, op8_weak_labels, op9_bpe, op10_interpolation,
-        op11_runs, op13_importance,
+        op11_runs, op12_substrings, op13_importance,
     )}
 
 
