@@ -110,7 +110,7 @@ def name_stretches(s: np.ndarray, seeds: np.ndarray, kinds: int) -> np.ndarray:
         by = np.lexsort((word, rank[active]))
         rank[active[by]] = _regrouped(rank[active[by]], word[by])
         at += step
-        active = active[lengths[active] > at]
+        active = active[lengths[active] >= at]  # one that ends just here still lacks its end
         if len(active):
             _, group, times = np.unique(rank[active], return_inverse=True, return_counts=True)
             active = active[times[group] > 1]

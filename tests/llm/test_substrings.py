@@ -47,6 +47,18 @@ def test_suffix_order_equals_sorting(tmp_path, memory, limit):
     assert not os.listdir(tmp_path)
 
 
+def test_stretches_where_one_begins_another():
+    rng = random.Random(4)
+    for _ in range(3000):
+        s = np.array([rng.randrange(3) for _ in range(rng.randint(4, 60))])
+        seeds = np.flatnonzero((t := induced.suffix_types(s)[0])[1:] & ~t[:-1]) + 1
+        ends = [*(seeds[1:] + 1).tolist(), None]
+        for kinds in (3, 1 << 20, 1 << 31):  # 21, 3 and 1 symbols at a time
+            rank = induced.name_stretches(s, seeds, kinds).tolist()
+            text = [tuple(s[a:z].tolist()) + ((kinds + 1,) if z else (-1,)) for a, z in zip(seeds.tolist(), ends)]
+            assert rank == [sum(x < y for x in text) for y in text]
+
+
 def test_queues_keep_their_order_on_disk(tmp_path):
     rng, queues, want = random.Random(5), induced.Queues(str(tmp_path), 200), collections.defaultdict(list)
     for _ in range(300):
