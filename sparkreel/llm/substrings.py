@@ -141,7 +141,8 @@ def by_block(df: DataFrame, name: str) -> Callable[[int], pa.Table]:
     It carries a path and two numbers for each file. A task's blocks follow each other, so it keeps
     the file that it read last.
     """
-    table = materialise(df.repartitionByRange("block").sortWithinPartitions("block", "first"), name)
+    found = materialise(df, f"{name}-unsorted")  # the ranges are sampled, which would make the rows twice
+    table = materialise(found.repartitionByRange("block").sortWithinPartitions("block", "first"), name)
     path = F.input_file_name()
     files = sorted(tuple(r) for r in table.groupBy(path.alias("file")).agg(F.min("block").alias("low"), F.max("block").alias("high")).select("low", "high", "file").collect())
     lows, names, held = [f[0] for f in files], [c for c in df.columns if c != "block"], {}
