@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import MiningConfig
+from .permutation import pass_keys, permuted
 
 
 def pool_size(stride: int, total: str = "total_frames") -> Column:
@@ -65,6 +66,35 @@ def generate_rounds(samples: DataFrame, config: MiningConfig, fast: bool = False
     )
 
 
+def round_frames(round_id: Column, n: Column, keys: Column, config: MiningConfig) -> Column:
+    """The frames of round ``round_id``, from its number alone: ``budget_k`` places of the permuted pool, ascending."""
+    first = round_id.cast("long") * config.budget_k
+    places = F.sequence(first, first + (config.budget_k - 1))
+    return F.array_sort(F.transform(places, lambda j: permuted(j, n, keys) * config.frame_stride))
+
+
+def lazy_rounds(samples: DataFrame, config: MiningConfig, rounds: Column | None = None) -> DataFrame:
+    """The columns of ``generate_rounds``, each round computed from its number: nothing is sorted, shuffled or windowed.
+
+    ``rounds``: an array of the numbers wanted of each sample (null: none), all if left out; numbers
+    that the pool has no frames for are left out. The permutation is another one than that of
+    ``generate_rounds``; rounds are as disjoint and as complete.
+    """
+    last = actual_rounds(config).cast("int") - 1
+    every = F.when(last >= 0, F.sequence(F.lit(0), last))
+    wanted = every if rounds is None else F.when(last >= 0, F.filter(rounds, lambda r: (r >= 0) & (r <= last)))
+    n = pool_size(config.frame_stride).cast("long")
+    keyed = samples.where("total_frames > 0").select("sample_id", "sample_index", n.alias("n"), pass_keys(F.lit(config.random_seed) + F.col("sample_index"), n).alias("keys"), wanted.alias("wanted"))
+    numbered = keyed.select("sample_id", "sample_index", "n", "keys", F.explode(F.col("wanted").cast("array<int>")).alias("round_id"))
+    return numbered.select(
+        "sample_id",
+        "sample_index",
+        "round_id",
+        round_frames(F.col("round_id"), F.col("n"), F.col("keys"), config).alias("frame_indices"),
+        (F.col("n") - (F.col("round_id") + 1) * config.budget_k).cast("long").alias("remaining_pool_size"),
+    )
+
+
 def seeded_rounds(samples: DataFrame, config: MiningConfig) -> DataFrame:
     """The same columns, drawn by Python's Mersenne Twister from a seed per sample.
 
@@ -92,12 +122,15 @@ def seeded_rounds(samples: DataFrame, config: MiningConfig) -> DataFrame:
 
 
 def validate_rounds(rounds: DataFrame, samples: DataFrame, budget_k: int) -> DataFrame:
-    """``(sample_id, sample_index, valid)``: exact size, ascending, inside the video, no frame twice or null."""
+    """``(sample_id, sample_index, valid)``: exact size, ascending, inside the video, no frame twice or null.
+
+    A round whose list is empty or null makes its sample invalid.
+    """
     f = F.col("frame_indices")
     checked = rounds.join(samples.select("sample_index", "total_frames"), "sample_index").withColumn(
         "fine", F.coalesce((F.size(f) == budget_k) & (f == F.array_sort(f)) & F.forall(f, lambda x: (x >= 0) & (x < F.col("total_frames"))), F.lit(False))
     )
-    frames = checked.select("sample_id", "sample_index", "fine", F.explode("frame_indices").alias("frame"))
+    frames = checked.select("sample_id", "sample_index", "fine", F.explode_outer("frame_indices").alias("frame"))
     return frames.groupBy("sample_id", "sample_index", "frame").agg(F.bool_and("fine").alias("fine"), F.count("*").alias("times")).groupBy("sample_id", "sample_index").agg(
         (F.bool_and("fine") & (F.max("times") == 1)).alias("valid")
     )

@@ -15,6 +15,7 @@ from .config import MiningConfig
 from .functions import (
     answer_matches, format_answer, format_question, frame_filename, join_path, option_letter, relative_path, rounded_rate, hit_rate, sample_id, stem, unique_id,
 )
+from .functions.records import config_digest as _config_digest_column
 from .operators import buckets, fill, frames, ordering, sampling, stopping
 from .plans import mining
 from .sources.checkpoint import unprocessed
@@ -208,9 +209,47 @@ def live_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
         kinds = [(sample["sample_index"] * 31 + number * 17) % 11 for number, _ in rounds]
         return [known[k] if k < 10 else None for k in kinds]
 
-    known, s = ANSWERS, samples(spark, sf_dir)
-    rounds = sampling.generate_rounds(s, CONFIG)
-    return stopping.ask_until_enough(rounds, s, answer, CONFIG).select("sample_index", "round_id", "num_rounds")
+    known, s = ANSWERS, samples(spark, sf_dir).select("sample_id", "sample_index", "total_frames", "formatted_answer")
+    return stopping.ask_lazily(s, answer, CONFIG).select("sample_index", "round_id", "num_rounds")
+
+
+def lazy_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rounds by random access: each from its number, the seed and the size of the pool."""
+    return sampling.lazy_rounds(samples(spark, sf_dir), CONFIG).select("sample_index", "round_id", joined("frame_indices").alias("frames"), "remaining_pool_size")
+
+
+_LAZY_SQL = f"""WITH {_SAMPLES}, pools AS (
+  SELECT sample_index, (total_frames + 9) // 10 AS n FROM samples WHERE total_frames > 0
+), digests AS (
+  SELECT sample_index, n, i, md5(concat(42 + sample_index, ':', i)) AS d FROM pools, range(0, 48) AS t(i)
+), keys AS (
+  SELECT sample_index, n, list({{'k': ('0x' || substr(d, 1, 15))::BIGINT % n, 'a': ('0x' || substr(d, 16, 7))::BIGINT + 1, 'b': ('0x' || substr(d, 23, 7))::BIGINT}} ORDER BY i) AS keys
+  FROM digests GROUP BY ALL
+), places AS (
+  SELECT *, unnest(range(0, 16 * least(n // 16, 50))) AS place FROM keys
+), steps AS (
+  SELECT sample_index, n, place, list_reduce(keys, lambda x, key: {{
+    'k': CASE WHEN ((((key.a * greatest(x.k, (key.k + n - x.k) % n) + key.b) % 2147483647) * ((key.a * greatest(x.k, (key.k + n - x.k) % n) + key.b) % 2147483647)) % 2147483647 >> 15) % 2 = 1
+      THEN (key.k + n - x.k) % n ELSE x.k END, 'a': 0::BIGINT, 'b': 0::BIGINT}}, {{'k': place, 'a': 0::BIGINT, 'b': 0::BIGINT}}).k AS x
+  FROM places
+)
+SELECT sample_index, cast(place // 16 AS integer) AS round_id, string_agg(cast(x * 10 AS varchar), ',' ORDER BY x) AS frames, cast(n - (place // 16 + 1) * 16 AS bigint) AS remaining_pool_size
+FROM steps GROUP BY sample_index, n, place // 16"""
+
+
+def exact_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates to four places over all documents: of n_chars rounds, 7919 * doc_id mod (n_chars + 1) hit."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("n_chars > 0")
+    pos = (F.col("doc_id") * 7919) % (F.col("n_chars") + 1)
+    return docs.select("doc_id", rounded_rate(pos, F.col("n_chars") - pos).alias("rate"))
+
+
+_EXACT_SQL = """WITH x AS (SELECT doc_id, ((doc_id * 7919) % (n_chars + 1))::DOUBLE / n_chars AS r FROM documents WHERE n_chars > 0),
+u AS (SELECT doc_id, r, CASE WHEN r >= 0.0009765625 THEN 4611686018427387904::HUGEINT ELSE 4722366482869645213696::HUGEINT END AS unit FROM x),
+v AS (SELECT doc_id, r, unit, CAST(r * CAST(unit AS DOUBLE) AS HUGEINT) * 10000 AS number FROM u),
+q AS (SELECT doc_id, r, unit, number // unit AS quotient, number % unit AS rest FROM v)
+SELECT doc_id, CASE WHEN r < 9.5367431640625e-07 THEN 0.0::DOUBLE
+  ELSE CAST(quotient + CASE WHEN rest * 2 > unit OR (rest * 2 = unit AND quotient % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 10000.0::DOUBLE END AS rate FROM q"""
 
 
 def output_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,21 +330,15 @@ def unprocessed_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unprocessed(s, s.where("sample_index % 3 = 0")).select("sample_id", "sample_index")
 
 
-def _filled(spark: SparkSession, sf_dir: str, config: MiningConfig) -> DataFrame:
+def frame_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rounds of each sample, frames that can't be read taken from the one before."""
     s = samples(spark, sf_dir)
-    rounds = sampling.generate_rounds(s, config).join(s.select("sample_index", "video_path"), "sample_index")
+    rounds = sampling.generate_rounds(s, CONFIG).join(s.select("sample_index", "video_path"), "sample_index")
     frames_ = rounds.select("video_path", F.explode("frame_indices").alias("frame_index")).distinct().where("frame_index % 7 <> 0").withColumn("image", F.concat(F.lit("i"), F.col("frame_index").cast("string")))
     return fill.fill_frames(rounds, frames_, "black").select("sample_id", "round_id", F.col("position").cast("long").alias("position"), "frame_index", "image")
 
 
-def frame_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first four rounds of each sample, as the SQL twin has them."""
-    return _filled(spark, sf_dir, MiningConfig(max_iterations=4))
-
-
-def frame_fill_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rounds of each sample."""
-    return _filled(spark, sf_dir, CONFIG)
+frame_fill_all = frame_fill
 
 
 def worker_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,11 +347,10 @@ def worker_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def results_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where each sample stands in the order of ids as text."""
-    from pyspark.sql import Window as W
-
-    at = F.row_number().over(W.partitionBy("task_type").orderBy("sample_id")).cast("long")
-    return samples(spark, sf_dir).select("task_type", "sample_id", at.alias("place"))
+    """Where each sample stands in the order of its task's ids as text: its place among all, less the task's first."""
+    placed = ordering.numbered(samples(spark, sf_dir).select("task_type", "sample_id"), "task_type", "sample_id")
+    firsts = placed.groupBy("task_type").agg(F.min("position").alias("first"))
+    return placed.join(firsts, "task_type").select("task_type", "sample_id", (F.col("position") - F.col("first") + 1).alias("place"))
 
 
 def config_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -455,8 +487,8 @@ def conversations_(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def config_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hash of a whole configuration, for several seeds."""
-    digest = F.udf(lambda seed: MiningConfig(random_seed=seed).digest())
-    return spark.read.parquet(f"{sf_dir}/region.parquet").select(F.col("r_regionkey").cast("long").alias("seed"), digest(F.col("r_regionkey")).alias("config_hash"))
+    seed = F.col("r_regionkey").cast("long")
+    return spark.read.parquet(f"{sf_dir}/region.parquet").select(seed.alias("seed"), _config_digest_column(CONFIG, "random_seed", seed).alias("config_hash"))
 
 
 def _config_digest_sql() -> str:
@@ -511,10 +543,10 @@ def tasks_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def invalid_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rounds of which some are out of order, of another size, outside the video, or drawn twice."""
+    """Rounds of which some are out of order, of another size, outside the video, drawn twice, empty or null."""
     s = samples(spark, sf_dir)
-    f, kind = F.col("frame_indices"), F.col("sample_index") % 6
-    spoilt = F.when(kind == 1, F.reverse(f)).when(kind == 2, F.slice(f, 1, 3)).when(kind == 3, F.transform(f, lambda x: x + 1_000_000_000)).when(kind == 4, F.array_repeat(f[0], 16)).when(kind == 5, F.concat(F.slice(f, 1, 15), F.array(F.lit(None).cast("long")))).otherwise(f)
+    f, kind = F.col("frame_indices"), F.col("sample_index") % 8
+    spoilt = F.when(kind == 1, F.reverse(f)).when(kind == 2, F.slice(f, 1, 3)).when(kind == 3, F.transform(f, lambda x: x + 1_000_000_000)).when(kind == 4, F.array_repeat(f[0], 16)).when(kind == 5, F.concat(F.slice(f, 1, 15), F.array(F.lit(None).cast("long")))).when(kind == 6, F.array().cast("array<bigint>")).when(kind < 6, f)
     rounds = sampling.generate_rounds(s, CONFIG).withColumn("frame_indices", spoilt)
     return sampling.validate_rounds(rounds, s, CONFIG.budget_k).select("sample_index", "valid")
 
@@ -533,6 +565,12 @@ mined AS (SELECT x.sample_index, x.task_type, count(*) FILTER (ok) AS pos_count,
 {_TASKS}"""
 
 
+_FILL_SQL = f"""WITH {_ROUNDS}, places AS (
+              SELECT sample_id, cast(round_id AS integer) AS round_id, unnest(frames) AS frame_index, unnest(range(0, 16)) AS position FROM rounds
+            ) SELECT sample_id, round_id, cast(position AS bigint) AS position, frame_index,
+              coalesce(last_value(CASE WHEN frame_index % 7 <> 0 THEN concat('i', frame_index) END IGNORE NULLS) OVER (PARTITION BY sample_id, round_id ORDER BY position ROWS UNBOUNDED PRECEDING), 'black') AS image FROM places"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "frame_pool_size": _simple(lambda: sampling.pool_size(CONFIG.frame_stride).alias("pool_size")),
@@ -540,6 +578,8 @@ def queries() -> dict[str, Query]:
         "actual_rounds": _simple(lambda: sampling.actual_rounds(CONFIG).alias("rounds")),
         "sample_rounds_hash": sample_rounds_hash,
         "sample_rounds_mt19937": sample_rounds_mt19937,
+        "lazy_rounds": lazy_rounds,
+        "exact_rates": exact_rates,
         "validate_rounds": validate_rounds,
         "option_letter": letters,
         "mcq_match": matches,
@@ -569,7 +609,7 @@ def queries() -> dict[str, Query]:
         "extraction_summary": extraction_summary,
         "unprocessed_samples": unprocessed_samples,
         "frame_fill": frame_fill,
-        "frame_fill_all": frame_fill_all,
+        "frame_fill_all": frame_fill,
         "worker_split": worker_split,
         "results_sorted": results_sorted,
         "config_hash": config_hash,
@@ -602,6 +642,8 @@ def oracle_sql() -> dict[str, str]:
         "expected_rounds": simple("cast(least(total_frames // 16, 50) AS bigint) AS rounds"),
         "actual_rounds": simple("cast(least(((total_frames + 9) // 10) // 16, 50) AS bigint) AS rounds"),
         "sample_rounds_hash": f"WITH {_ROUNDS} SELECT sample_index, cast(round_id AS integer) AS round_id, array_to_string(frames, ',') AS frames, cast((total_frames + 9) // 10 - (round_id + 1) * 16 AS bigint) AS remaining_pool_size FROM rounds",
+        "lazy_rounds": _LAZY_SQL,
+        "exact_rates": _EXACT_SQL,
         "validate_rounds": f"WITH {_ROUNDS} SELECT DISTINCT sample_index, true AS valid FROM rounds",
         "option_letter": f"WITH {_PREDICTIONS} SELECT sample_index, cast(round_id AS integer) AS round_id, {_letter('prediction')} AS letter FROM predictions",
         "mcq_match": f"WITH {_PREDICTIONS} SELECT sample_index, cast(round_id AS integer) AS round_id, {_MATCH} AS ok FROM predictions",
@@ -644,10 +686,8 @@ def oracle_sql() -> dict[str, str]:
               cast(coalesce(any_value(have.n), 0) AS bigint) AS skipped, cast(coalesce(any_value(both_.n), 0) AS bigint) AS skipped_requested, cast(coalesce(any_value(bad), 0) AS bigint) AS failed
             FROM w LEFT JOIN have USING (video_name) LEFT JOIN both_ USING (video_path) LEFT JOIN done USING (video_path) GROUP BY 1, 2""",
         "unprocessed_samples": f"WITH {_SAMPLES} SELECT sample_id, sample_index FROM samples WHERE sample_index % 3 <> 0",
-        "frame_fill": f"""WITH {_ROUNDS}, places AS (
-              SELECT sample_id, cast(round_id AS integer) AS round_id, unnest(frames) AS frame_index, unnest(range(0, 16)) AS position FROM rounds WHERE round_id < 4
-            ) SELECT sample_id, round_id, cast(position AS bigint) AS position, frame_index,
-              coalesce(last_value(CASE WHEN frame_index % 7 <> 0 THEN concat('i', frame_index) END IGNORE NULLS) OVER (PARTITION BY sample_id, round_id ORDER BY position ROWS UNBOUNDED PRECEDING), 'black') AS image FROM places""",
+        "frame_fill": _FILL_SQL,
+        "frame_fill_all": _FILL_SQL,
         "worker_split": f"WITH {_SAMPLES} SELECT sample_index, cast(least(sample_index // ((SELECT count(*) FROM samples) // 7), 6) AS bigint) AS worker FROM samples",
         "results_sorted": f"WITH {_SAMPLES} SELECT task_type, sample_id, row_number() OVER (PARTITION BY task_type ORDER BY sample_id) AS place FROM samples",
         "config_hash": "SELECT r_regionkey, substr(md5(concat('{\"budget_k\":', r_regionkey, ',\"model_name\":\"', r_name, '\"}')), 1, 16) AS config_hash FROM region",
@@ -684,5 +724,5 @@ def oracle_sql() -> dict[str, str]:
         "picked_samples": f"WITH {_SAMPLES} SELECT sample_id, sample_index FROM samples WHERE total_frames % 3 = 0",
         "samples_in_order": f"WITH {_SAMPLES} SELECT sample_id, sample_index FROM samples ORDER BY 1",
         "tasks_by_name": f"WITH {_SAMPLES} SELECT task_type, count(*) AS samples, cast(sum(total_frames) AS bigint) AS frames FROM samples GROUP BY 1 ORDER BY 1",
-        "invalid_rounds": f"WITH {_ROUNDS} SELECT DISTINCT sample_index, sample_index % 6 = 0 AS valid FROM rounds",
+        "invalid_rounds": f"WITH {_ROUNDS} SELECT DISTINCT sample_index, sample_index % 8 = 0 AS valid FROM rounds",
     }
