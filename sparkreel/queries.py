@@ -16,9 +16,10 @@ from .functions import (
     answer_matches, format_answer, format_question, frame_filename, join_path, option_letter, relative_path, rounded_rate, hit_rate, sample_id, stem, unique_id,
 )
 from .functions.records import config_digest as _config_digest_column
-from .operators import buckets, fill, frames, ordering, sampling, stopping
+from .operators import bitmaps, buckets, fill, frames, ordering, sampling, stopping
 from .plans import mining
 from .sources.checkpoint import unprocessed
+from .storage import fresh
 
 CONFIG = MiningConfig()
 BASE = "/data/media/"
@@ -341,6 +342,87 @@ def frame_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 frame_fill_all = frame_fill
 
 
+def _bitmap_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.videos(records(spark, sf_dir)).select("video_path", "total_frames")
+
+
+def collect_frames_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wanted frames over bitmaps: what is shuffled is a bitmap for each video and task, not a row for each frame."""
+    return bitmaps.list_bits(bitmaps.named(bitmaps.collect_bitmaps(records(spark, sf_dir)))).select("video_path", "video_name", "frame_index")
+
+
+def dilate_frames_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = bitmaps.dilate(bitmaps.collect_bitmaps(records(spark, sf_dir)), 2, _bitmap_bounds(spark, sf_dir))
+    return bitmaps.list_bits(bitmaps.named(wide)).select("video_path", "video_name", "frame_index")
+
+
+def frames_to_extract_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = bitmaps.named(bitmaps.collect_bitmaps(records(spark, sf_dir)))
+    existing = bitmaps.from_frames(_existing(bitmaps.list_bits(wanted)), "video_name")
+    return bitmaps.list_bits(bitmaps.difference(wanted, existing, "video_name")).select("video_path", "video_name", "frame_index")
+
+
+def video_frame_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct frames of each video, counted in the bitmaps."""
+    return bitmaps.count_frames(bitmaps.collect_bitmaps(records(spark, sf_dir)), "video_path")
+
+
+def frame_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each document, written and read back by the data source; the bound on frame_index is the reader's."""
+    from .sources.frame_source import FrameFiles
+
+    spark.dataSource.register(FrameFiles)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    path = fresh(spark, "store")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select(F.coalesce("source", F.lit("none")).alias("video_name"), F.col("doc_id").alias("frame_index"), F.coalesce("text", F.lit("")).cast("binary").alias("image"))
+    rows.write.format("frame_files").mode("append").save(path)
+    back = spark.read.format("frame_files").load(path).where("frame_index >= 100")
+    return back.select("video_name", "frame_index", F.md5("image").alias("digest"))
+
+
+def stream_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wanted frames by a stream over record files, stopped and started again in between."""
+    from .streaming.collect import FrameTable, collect_stream
+
+    base = fresh(spark, "stream")
+    rows = records(spark, sf_dir).select("video_path", "total_frames", "mining_result")
+    table = FrameTable(spark, f"{base}/table")
+    for part in (0, 1):
+        written_ = rows.where(F.pmod(F.xxhash64("video_path", "total_frames"), F.lit(2)) == part)
+        written_.repartition(3).write.mode("append").json(f"{base}/in")
+        collect_stream(spark, f"{base}/in", table, f"{base}/state", 1).awaitTermination()
+    return table.frames()
+
+
+def committed_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples worked off in slices of 300, with a compaction on the way: which are done, and what is left (none)."""
+    from .sources.commits import CommitLog, in_commits, remaining
+
+    base, s = fresh(spark, "run"), samples(spark, sf_dir).select("sample_id", "sample_index")
+    log, config = CommitLog(spark, f"{base}/log"), MiningConfig(samples_per_checkpoint=max(300, -(-s.count() // 4)))
+    write = lambda rows, name: rows.write.mode("overwrite").parquet(f"{base}/out/slice={name}")
+    in_commits(s, log, config, base, lambda part: part, write, most=2 * config.samples_per_checkpoint)
+    log.compact()
+    in_commits(s, log, config, base, lambda part: part, write)
+    rows = spark.read.parquet(f"{base}/out").groupBy("sample_id").agg(F.count("*").alias("times"))
+    left = remaining(s, log).select("sample_id", F.lit(-1).cast("long").alias("times"))
+    return log.done().select("sample_id").distinct().join(rows, "sample_id", "left").select("sample_id", "times").unionByName(left)
+
+
+def resumed_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left after commits of every third sample, by an anti-join with the log."""
+    from .sources.commits import CommitLog, remaining
+
+    s = samples(spark, sf_dir)
+    log = CommitLog(spark, fresh(spark, "log"))
+    for part in range(3):
+        log.commit(s.where(f"sample_index % 9 = {3 * part}"), CONFIG, "out")
+        if part == 1:
+            log.compact()
+    return remaining(s, log).select("sample_id", "sample_index")
+
+
 def worker_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = samples(spark, sf_dir)
     return s.select("sample_index", ordering.worker_of("sample_index", s.count(), 7).alias("worker"))
@@ -608,6 +690,14 @@ def queries() -> dict[str, Query]:
         "frames_to_extract": frames_to_extract,
         "extraction_summary": extraction_summary,
         "unprocessed_samples": unprocessed_samples,
+        "resumed_samples": resumed_samples,
+        "committed_slices": committed_slices,
+        "collect_frames_bitmap": collect_frames_bitmap,
+        "dilate_frames_bitmap": dilate_frames_bitmap,
+        "frames_to_extract_bitmap": frames_to_extract_bitmap,
+        "video_frame_counts": video_frame_counts,
+        "frame_store": frame_store,
+        "stream_collect": stream_collect,
         "frame_fill": frame_fill,
         "frame_fill_all": frame_fill,
         "worker_split": worker_split,
@@ -685,6 +775,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT video_path, w.video_name, cast(count(*) AS bigint) AS total_frames, cast(coalesce(any_value(ok), 0) AS bigint) AS success,
               cast(coalesce(any_value(have.n), 0) AS bigint) AS skipped, cast(coalesce(any_value(both_.n), 0) AS bigint) AS skipped_requested, cast(coalesce(any_value(bad), 0) AS bigint) AS failed
             FROM w LEFT JOIN have USING (video_name) LEFT JOIN both_ USING (video_path) LEFT JOIN done USING (video_path) GROUP BY 1, 2""",
+        "resumed_samples": f"WITH {_SAMPLES} SELECT sample_id, sample_index FROM samples WHERE sample_index % 3 <> 0",
+        "committed_slices": f"WITH {_SAMPLES} SELECT sample_id, count(*) AS times FROM samples GROUP BY 1",
+        "collect_frames_bitmap": _frames_sql(0),
+        "dilate_frames_bitmap": _frames_sql(2),
+        "frames_to_extract_bitmap": f"WITH {_WANTED}, {_EXISTING} SELECT video_path, video_name, frame_index FROM w ANTI JOIN existing USING (video_name, frame_index)",
+        "video_frame_counts": f"WITH {_WANTED} SELECT video_path, count(*) AS n FROM selected GROUP BY 1",
+        "frame_store": "SELECT coalesce(source, 'none') AS video_name, doc_id AS frame_index, md5(coalesce(text, '')) AS digest FROM documents WHERE doc_id >= 100",
+        "stream_collect": _frames_sql(0),
         "unprocessed_samples": f"WITH {_SAMPLES} SELECT sample_id, sample_index FROM samples WHERE sample_index % 3 <> 0",
         "frame_fill": _FILL_SQL,
         "frame_fill_all": _FILL_SQL,
