@@ -66,3 +66,9 @@ def conversation(question: Column, candidates: Column, include_system: bool = Tr
     ask = F.struct(F.lit("user").alias("role"), F.lit(None).cast("string").alias("text"), user.alias("content")).cast(message)
     system = F.struct(F.lit("system").alias("role"), F.lit(SYSTEM_PROMPT).alias("text"), F.lit(None).cast(f"array<{part}>").alias("content")).cast(message)
     return F.array(system, ask) if include_system else F.array(ask)
+
+
+def with_frames(messages: Column, frames: Column) -> Column:
+    """A given conversation with ``frames`` put into every video part of its user messages; the rest stays."""
+    filled = lambda p: F.when(p["type"] == "video", F.struct(p["type"].alias("type"), p["text"].alias("text"), frames.cast("array<bigint>").alias("video"))).otherwise(p)
+    return F.transform(messages, lambda m: F.when(m["role"] == "user", F.struct(m["role"].alias("role"), m["text"].alias("text"), F.transform(m["content"], filled).alias("content"))).otherwise(m))

@@ -56,6 +56,10 @@ def _each(df: DataFrame, schema: str, fn) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def _kinds(df: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in names)
+
+
 def dilate(sets: DataFrame, n: int, bounds: DataFrame | None = None) -> DataFrame:
     """``(video_path, bucket, frames)`` with ``n`` (below 32,768) neighbours on each side of every frame.
 
@@ -116,7 +120,7 @@ def difference(wanted: DataFrame, existing: DataFrame, *keys: str) -> DataFrame:
         columns = [batch.column(c) for c in names]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(left, pa.binary())], [*names, "frames"])
 
-    return _each(joined, wanted.select(*names, "frames").schema, run).where("frames is not null")
+    return _each(joined, f"{_kinds(wanted, names)}, frames binary", run).where("frames is not null")
 
 
 def count_frames(sets: DataFrame, *keys: str) -> DataFrame:
@@ -135,8 +139,7 @@ def list_bits(sets: DataFrame) -> DataFrame:
             place = pa.array(np.repeat(np.arange(at, at + len(found)), [len(f) for f in found]))
             yield pa.RecordBatch.from_arrays([*[batch.column(c).take(place) for c in names], pa.array(np.concatenate(found))], [*names, "frame_index"])
 
-    kinds = ", ".join(f"`{c}` {sets.schema[c].dataType.simpleString()}" for c in names)
-    return _each(sets.select(*names, "bucket", "frames"), f"{kinds}, frame_index long", run)
+    return _each(sets.select(*names, "bucket", "frames"), f"{_kinds(sets, names)}, frame_index long", run)
 
 
 def named(sets: DataFrame) -> DataFrame:

@@ -46,19 +46,30 @@ def frames_to_extract(wanted: DataFrame, existing: DataFrame) -> DataFrame:
     return wanted.join(existing.select("video_name", "frame_index"), ["video_name", "frame_index"], "left_anti").select("video_path", "video_name", "frame_index")
 
 
+def flag_existing(wanted: DataFrame, existing: DataFrame) -> DataFrame:
+    """``wanted`` with ``there``: whether ``existing(video_name, frame_index)`` holds the frame."""
+    files = existing.select("video_name", "frame_index").distinct().withColumn("_file", F.lit(True))
+    return wanted.join(files, ["video_name", "frame_index"], "left").select(*wanted.columns, F.col("_file").isNotNull().alias("there"))
+
+
+def summarise(status: DataFrame, existing: DataFrame) -> DataFrame:
+    """The rows of ``per_video_summary`` from one pass over ``(video_path, video_name, status)``, 'present' for frames that were there."""
+    of = lambda s: F.count_if(F.col("status") == s)
+    want = status.groupBy("video_path", "video_name").agg(F.count("*").alias("total_frames"), of("success").alias("success"), of("present").alias("skipped_requested"), of("failed").alias("failed"))
+    have = existing.select("video_name", "frame_index").distinct().groupBy("video_name").agg(F.count("*").alias("skipped"))
+    out = want.join(have, "video_name", "left").fillna(0, ["skipped"])
+    return out.select("video_path", "video_name", "total_frames", "success", "skipped", "skipped_requested", "failed")
+
+
 def per_video_summary(wanted: DataFrame, existing: DataFrame, status: DataFrame) -> DataFrame:
     """A row per video: frames wanted, extracted, failed, and skipped.
 
     ``skipped`` counts every frame file of the video's folder, ``skipped_requested`` those wanted.
-    ``status``: (video_path, frame_index, status) with 'success' or 'failed'.
+    ``status``: (video_path, frame_index, status) with 'success' or 'failed' of frames that were tried.
     """
-    want = wanted.groupBy("video_path", "video_name").agg(F.count("*").alias("total_frames"))
-    files = existing.select("video_name", "frame_index").distinct()
-    have = files.groupBy("video_name").agg(F.count("*").alias("skipped"))
-    both = wanted.join(files, ["video_name", "frame_index"]).groupBy("video_path").agg(F.count("*").alias("skipped_requested"))
-    done = status.groupBy("video_path").agg(F.count_if(F.col("status") == "success").alias("success"), F.count_if(F.col("status") == "failed").alias("failed"))
-    out = want.join(have, "video_name", "left").join(both, "video_path", "left").join(done, "video_path", "left")
-    return out.fillna(0, ["skipped", "skipped_requested", "success", "failed"]).select("video_path", "video_name", "total_frames", "success", "skipped", "skipped_requested", "failed")
+    tried = status.select("video_path", "frame_index", "status")
+    flagged = flag_existing(wanted, existing).join(tried, ["video_path", "frame_index"], "left")
+    return summarise(flagged.withColumn("status", F.coalesce("status", F.when(F.col("there"), "present"))), existing)
 
 
 def extraction_totals(per_video: DataFrame) -> DataFrame:
@@ -71,7 +82,14 @@ def extraction_totals(per_video: DataFrame) -> DataFrame:
 
 
 def per_video_map(per_video: DataFrame) -> DataFrame:
-    """One row with a map from video name to its figures; of paths with one name the last stays."""
+    """One row with a map from video name to its figures; of paths with one name the last stays.
+
+    All videos are in that one row, as the summary's format asks; ``by_name`` has a row for each.
+    """
+    return by_name(per_video).agg(F.map_from_entries(F.collect_list(F.struct("video_name", "figures"))).alias("per_video"))
+
+
+def by_name(per_video: DataFrame) -> DataFrame:
+    """``(video_name, figures)``; of paths with one name the last stays."""
     figures = F.struct("video_path", "total_frames", "success", "skipped", "failed")
-    named = per_video.groupBy("video_name").agg(F.max_by(figures, "video_path").alias("figures"))
-    return named.agg(F.map_from_entries(F.collect_list(F.struct("video_name", "figures"))).alias("per_video"))
+    return per_video.groupBy("video_name").agg(F.max_by(figures, "video_path").alias("figures"))

@@ -11,6 +11,7 @@ import traceback
 from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,11 +62,25 @@ def _answers(predict: Predict, items: list[dict]) -> list[tuple[str | None, str
         return [_answers(predict, [i])[0] for i in items]
 
 
-def predict_rounds(rounds: DataFrame, samples: DataFrame, make: Callable[[], Predict], batch_size: int = 16, token_count: Callable[[str], int] | None = None) -> DataFrame:
+def answered(predict: Predict, count: Callable[[str], int], part):
+    """The results of one batch, a pandas frame of rounds with their questions."""
+    import pandas as pd
+
+    items = [{"question": q, "candidates": list(c) if c is not None else [], "frame_indices": [int(x) for x in f]} for q, c, f in zip(part["question"], part["candidates"], part["frame_indices"])]
+    padded, rows = max(count(i["question"] or "") for i in items), []
+    for (sample, number), item, (answer, error) in zip(zip(part["sample_id"], part["round_id"]), items, _answers(predict, items)):
+        frames = item["frame_indices"]
+        rows.append((sample, int(number), frames, answer, None if error else padded, None if error else count(answer), None if error else len(frames), error))
+    names = ["sample_id", "round_id", "frame_indices", "prediction", "input_tokens", "output_tokens", "num_frames", "error"]
+    return pd.DataFrame(rows, columns=names).astype({"input_tokens": "Int32", "output_tokens": "Int32", "num_frames": "Int32"})
+
+
+def predict_rounds(rounds: DataFrame, samples: DataFrame, make: Callable[[], Predict], batch_size: int = 16, token_count: Callable[[str], int] | None = None, profile: ResourceProfile | None = None) -> DataFrame:
     """Results of every round: prediction or error, and token counts.
 
     ``input_tokens`` is the longest of the batch, as a padded batch is what the model reads.
-    ``make`` runs once in each Python worker process.
+    ``make`` runs once in each Python worker process. ``profile``: the resources of the asking tasks (a
+    GPU each, say), where the cluster can schedule them by stage.
     """
     make = once_a_process(make)
 
@@ -74,19 +89,13 @@ def predict_rounds(rounds: DataFrame, samples: DataFrame, make: Callable[[], Pre
 
         predict, count = make(), token_count or (lambda s: len(s.split()))
         for batch in batches:
-            rows = []
-            for at in range(0, len(batch), batch_size):
-                part = batch.iloc[at : at + batch_size]
-                items = [{"question": q, "candidates": list(c) if c is not None else [], "frame_indices": [int(x) for x in f]} for q, c, f in zip(part["question"], part["candidates"], part["frame_indices"])]
-                padded = max(count(i["question"] or "") for i in items)
-                for (sample, number), item, (answer, error) in zip(zip(part["sample_id"], part["round_id"]), items, _answers(predict, items)):
-                    frames = item["frame_indices"]
-                    rows.append((sample, int(number), frames, answer, None if error else padded, None if error else count(answer), None if error else len(frames), error))
-            yield pd.DataFrame(rows, columns=["sample_id", "round_id", "frame_indices", "prediction", "input_tokens", "output_tokens", "num_frames", "error"]).astype({"input_tokens": "Int32", "output_tokens": "Int32", "num_frames": "Int32"})
+            parts = [answered(predict, count, batch.iloc[at : at + batch_size]) for at in range(0, len(batch), batch_size)]
+            if parts:
+                yield pd.concat(parts)
 
     asked = rounds.select("sample_index", "sample_id", "round_id", "frame_indices").join(samples.select("sample_index", "question", "candidates"), "sample_index")
     ordered = asked.repartition("sample_index").sortWithinPartitions("sample_index", "round_id")
-    return ordered.select("sample_id", "round_id", "frame_indices", "question", "candidates").mapInPandas(run, RESULTS)
+    return ordered.select("sample_id", "round_id", "frame_indices", "question", "candidates").mapInPandas(run, RESULTS, profile=profile)
 
 
 def from_table(rounds: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from .functions import (
     answer_matches, format_answer, format_question, frame_filename, join_path, option_letter, relative_path, rounded_rate, hit_rate, sample_id, stem, unique_id,
 )
 from .functions.records import config_digest as _config_digest_column
-from .operators import bitmaps, buckets, fill, frames, ordering, sampling, stopping
+from .operators import batching, bitmaps, buckets, fill, frames, ordering, sampling, stopping
 from .plans import mining
 from .sources.checkpoint import unprocessed
 from .storage import fresh
@@ -320,12 +320,50 @@ def frames_to_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extraction_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of each video from one pass over its wanted frames."""
+    wanted = frames.collect_frames(records(spark, sf_dir))
+    existing = _existing(wanted)
+    status = F.when(F.col("there"), "present").when(F.col("frame_index") % 7 == 0, "failed").otherwise("success")
+    return frames.summarise(frames.flag_existing(wanted, existing).withColumn("status", status), existing)
+
+
+def tried_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same figures from wanted frames and the status of those that were tried."""
     wanted = frames.collect_frames(records(spark, sf_dir))
     existing = _existing(wanted)
     status = frames.frames_to_extract(wanted, existing).withColumn("status", F.when(F.col("frame_index") % 7 == 0, "failed").otherwise("success"))
     return frames.per_video_summary(wanted, existing, status)
 
 
+def token_budget_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in batches of at most 16,384 padded characters, a longer one by itself."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "n_chars")
+    return batching.token_batches(docs, F.col("n_chars"), 16_384, "doc_id").select("doc_id", "tokens", "padded", "batch")
+
+
+_BATCHES_SQL = """WITH t AS (SELECT doc_id, greatest(coalesce(n_chars, 1), 1) AS tokens FROM documents),
+p AS (SELECT *, greatest(1, (1::BIGINT << cast(floor(log2(tokens + 0.5)) AS integer)) // 8) AS step FROM t),
+c AS (SELECT doc_id, tokens, cast(ceil(tokens / step) * step AS bigint) AS padded FROM p),
+n AS (SELECT *, row_number() OVER (PARTITION BY padded ORDER BY tokens, doc_id) - 1 AS place FROM c)
+SELECT doc_id, cast(tokens AS bigint) AS tokens, padded, concat(padded, '-', place // greatest(16384 // padded, 1)) AS batch FROM n"""
+
+
+def given_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames put into conversations that were built without them; the first round of each sample that has one."""
+    from .functions.answers import conversation, with_frames
+
+    s = samples(spark, sf_dir)
+    first = sampling.lazy_rounds(s, CONFIG, F.array(F.lit(0))).select("sample_index", "frame_indices")
+    given = s.select("sample_index", conversation(F.col("question"), F.col("candidates"), False).alias("chat")).join(first, "sample_index")
+    filled = with_frames(F.col("chat"), F.col("frame_indices"))
+    return given.select("sample_index", joined(filled[0]["content"][0]["video"]).alias("frames"), filled[0]["content"][1]["text"].alias("text"))
+
+
+_GIVEN_SQL = f"""WITH rounds AS ({_LAZY_SQL}), {_SAMPLES} SELECT sample_index, frames,
+  concat('Question: ', question, chr(10), 'Options:', chr(10), '(A) Red', chr(10), '(B) Green', chr(10), '(C) Blue', chr(10), '(D) Yellow', chr(10), 'Only give the best option.') AS text
+  FROM rounds JOIN samples USING (sample_index) WHERE round_id = 0"""
+
+
 def unprocessed_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = samples(spark, sf_dir)
     return unprocessed(s, s.where("sample_index % 3 = 0")).select("sample_id", "sample_index")
@@ -653,6 +691,15 @@ _FILL_SQL = f"""WITH {_ROUNDS}, places AS (
               coalesce(last_value(CASE WHEN frame_index % 7 <> 0 THEN concat('i', frame_index) END IGNORE NULLS) OVER (PARTITION BY sample_id, round_id ORDER BY position ROWS UNBOUNDED PRECEDING), 'black') AS image FROM places"""
 
 
+_SUMMARY_SQL = f"""WITH {_WANTED}, {_EXISTING}, todo AS (SELECT * FROM w ANTI JOIN existing USING (video_name, frame_index)),
+            have AS (SELECT video_name, count(*) AS n FROM existing GROUP BY 1),
+            both_ AS (SELECT video_path, count(*) AS n FROM w SEMI JOIN existing USING (video_name, frame_index) GROUP BY 1),
+            done AS (SELECT video_path, count_if(frame_index % 7 <> 0) AS ok, count_if(frame_index % 7 = 0) AS bad FROM todo GROUP BY 1)
+            SELECT video_path, w.video_name, cast(count(*) AS bigint) AS total_frames, cast(coalesce(any_value(ok), 0) AS bigint) AS success,
+              cast(coalesce(any_value(have.n), 0) AS bigint) AS skipped, cast(coalesce(any_value(both_.n), 0) AS bigint) AS skipped_requested, cast(coalesce(any_value(bad), 0) AS bigint) AS failed
+            FROM w LEFT JOIN have USING (video_name) LEFT JOIN both_ USING (video_path) LEFT JOIN done USING (video_path) GROUP BY 1, 2"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "frame_pool_size": _simple(lambda: sampling.pool_size(CONFIG.frame_stride).alias("pool_size")),
@@ -689,6 +736,9 @@ def queries() -> dict[str, Query]:
         "dilate_frames_2": _frames(2),
         "frames_to_extract": frames_to_extract,
         "extraction_summary": extraction_summary,
+        "tried_summary": tried_summary,
+        "token_budget_batches": token_budget_batches,
+        "given_conversations": given_conversations,
         "unprocessed_samples": unprocessed_samples,
         "resumed_samples": resumed_samples,
         "committed_slices": committed_slices,
@@ -768,13 +818,10 @@ def oracle_sql() -> dict[str, str]:
         "dilate_frames_1": _frames_sql(1),
         "dilate_frames_2": _frames_sql(2),
         "frames_to_extract": f"WITH {_WANTED}, {_EXISTING} SELECT video_path, video_name, frame_index FROM w ANTI JOIN existing USING (video_name, frame_index)",
-        "extraction_summary": f"""WITH {_WANTED}, {_EXISTING}, todo AS (SELECT * FROM w ANTI JOIN existing USING (video_name, frame_index)),
-            have AS (SELECT video_name, count(*) AS n FROM existing GROUP BY 1),
-            both_ AS (SELECT video_path, count(*) AS n FROM w SEMI JOIN existing USING (video_name, frame_index) GROUP BY 1),
-            done AS (SELECT video_path, count_if(frame_index % 7 <> 0) AS ok, count_if(frame_index % 7 = 0) AS bad FROM todo GROUP BY 1)
-            SELECT video_path, w.video_name, cast(count(*) AS bigint) AS total_frames, cast(coalesce(any_value(ok), 0) AS bigint) AS success,
-              cast(coalesce(any_value(have.n), 0) AS bigint) AS skipped, cast(coalesce(any_value(both_.n), 0) AS bigint) AS skipped_requested, cast(coalesce(any_value(bad), 0) AS bigint) AS failed
-            FROM w LEFT JOIN have USING (video_name) LEFT JOIN both_ USING (video_path) LEFT JOIN done USING (video_path) GROUP BY 1, 2""",
+        "extraction_summary": _SUMMARY_SQL,
+        "tried_summary": _SUMMARY_SQL,
+        "token_budget_batches": _BATCHES_SQL,
+        "given_conversations": _GIVEN_SQL,
         "resumed_samples": f"WITH {_SAMPLES} SELECT sample_id, sample_index FROM samples WHERE sample_index % 3 <> 0",
         "committed_slices": f"WITH {_SAMPLES} SELECT sample_id, count(*) AS times FROM samples GROUP BY 1",
         "collect_frames_bitmap": _frames_sql(0),

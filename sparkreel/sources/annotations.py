@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import format_answer, join_path, sample_id
+from ..operators.ordering import numbered
 from ..schemas import ANNOTATIONS
 
 
@@ -45,20 +45,17 @@ def read_annotations(spark: SparkSession, json_dir: str, tasks: list[str] | tupl
 def build_samples(items: DataFrame, video_dir: str, metadata: DataFrame) -> DataFrame:
     """Samples of items whose video is in ``metadata(video_path, total_frames)`` with frames in it.
 
-    ``sample_id`` counts items of a file before any are skipped, ``sample_index`` all samples after:
-    a file's samples are numbered on their own and shifted by the counts of the files before.
+    ``sample_id`` counts items of a file before any are skipped, ``sample_index`` all samples after,
+    in order of files and places.
     """
     named = items.select(
         "task_order", "task", "position", F.col("item.*"),
         join_path(F.lit(video_dir), F.col("task"), F.col("item.video")).alias("video_path"),
     )
     kept = named.join(metadata.where("total_frames > 0").select("video_path", "total_frames"), "video_path")
-    before = W.orderBy("task_order").rowsBetween(W.unboundedPreceding, -1)  # a row a file
-    shift = kept.groupBy("task_order").count().select("task_order", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("shift"))
-    own = F.row_number().over(W.partitionBy("task_order").orderBy("position")) - 1
-    return kept.withColumn("own", own).join(shift, "task_order").select(
+    return numbered(kept, "task_order", "position", name="sample_index").select(
         sample_id(F.col("task"), F.col("position")).alias("sample_id"),
-        (F.col("own") + F.col("shift")).cast("long").alias("sample_index"),
+        "sample_index",
         F.coalesce("question_type", "task").alias("task_type"),
         "video_path",
         F.col("video").alias("video_filename"),

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 from pyarrow import fs
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def _by_video(batches: Iterator) -> Iterator[tuple[str, str, list[int]]]:
             yield path, name, [int(x) for x in part["frame_index"]]
 
 
-def extract_frames(wanted: DataFrame, decode: Decode, folder: str, digits: int = 6, video_root: str = "") -> DataFrame:
+def extract_frames(wanted: DataFrame, decode: Decode, folder: str, digits: int = 6, video_root: str = "", profile: ResourceProfile | None = None) -> DataFrame:
     """Write ``folder/{video_name}/{number}.jpg``, on any storage pyarrow opens, and return ``(video_path, video_name, frame_index, status)``.
 
     ``decode`` yields the files' bytes. A frame that can't be read, or any frame of a video that
@@ -78,7 +79,7 @@ def extract_frames(wanted: DataFrame, decode: Decode, folder: str, digits: int =
                 pass  # what wasn't written is reported as failed
             yield pd.DataFrame({"video_path": path, "video_name": name, "frame_index": frames, "status": ["success" if f in done else "failed" for f in frames]})
 
-    return _runs(wanted).mapInPandas(run, FRAME_STATUS)
+    return _runs(wanted).mapInPandas(run, FRAME_STATUS, profile=profile)
 
 
 def decode_frames(wanted: DataFrame, decode: Decode, max_frames: int | None = None) -> DataFrame:
