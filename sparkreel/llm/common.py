@@ -11,8 +11,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 _OWN_DIRS: dict[str, str] = {}
 #: The setting that bounds the bytes of rows that go to a Python worker at a time, and its value where the session has none.
@@ -69,7 +70,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_rows(
-    df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+    df: DataFrame, schema: str | StructType, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 ) -> DataFrame:
     """``mapInArrow`` over batches bounded by bytes too: 10,000 long texts at a time would not fit."""
     conf = df.sparkSession.conf
@@ -78,6 +79,21 @@ def map_rows(
     return df.mapInArrow(fn, schema)
 
 
+def column(name: str) -> Column:
+    """A column by its name, whatever characters that holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_rows(docs: DataFrame, names: list[str] | None = None) -> Column:
+    """Columns ``names`` (all if None) as one struct ``row``."""
+    return F.struct(*[column(c) for c in docs.columns if names is None or c in names]).alias("row")
+
+
+def row_schema(rows: DataFrame, more: str) -> StructType:
+    """The struct ``row`` of ``rows`` followed by the fields of ``more``, for names that no schema text could hold."""
+    return StructType([StructField("row", rows.schema["row"].dataType), *StructType.fromDDL(more).fields])
+
+
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """The pyarrow file system of a path with or without a scheme, and the path in it."""
     return fs.FileSystem.from_uri(uri if "://" in uri or os.path.isabs(uri) else os.path.abspath(uri))

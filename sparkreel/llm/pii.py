@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import map_rows
 
@@ -283,7 +284,7 @@ def pseudonymise_documents(docs: DataFrame, key: bytes, text_col: str = "text",
     if count_col and count_col.lower() in (c.lower() for c in docs.columns):
         raise ValueError(f"{count_col} is a column already")
     place = docs.columns.index(text_col)
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    fields = [StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)] + ([StructField("count", LongType())] if count_col else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,7 +294,9 @@ def pseudonymise_documents(docs: DataFrame, key: bytes, text_col: str = "text",
             names = list(batch.schema.names)
             if count_col:
                 columns.append(pa.array([d[1] for d in done], pa.int64()))
-                names.append(count_col)
+                names.append("count")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return map_rows(docs, fields + (f", `{count_col}` long" if count_col else ""), run)
+    # Columns go by number inside: a name may hold what neither a schema text nor a column's name can.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return map_rows(numbered, StructType(fields), run).toDF(*docs.columns, *([count_col] if count_col else []))

@@ -205,9 +205,11 @@ def near_duplicates(
 
 def keep_named(docs: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
     """The rows of ``docs`` whose id names its component in ``groups(doc_id, component_id)``, and those without an id."""
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    named = docs.withColumn(id_col, F.col(f"`{id_col}`").cast("long")).join(kept, id_col, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return named.union(docs.where(F.col(f"`{id_col}`").isNull())).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in docs.schema.fields])
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names may hold any character
+    own = F.col(f"c{docs.columns.index(id_col)}")
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = numbered.join(kept, own.cast("long") == F.col("kept_id"), "left_semi")
+    return named.union(numbered.where(own.isNull())).toDF(*docs.columns)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:

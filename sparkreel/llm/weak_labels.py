@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, slices, split_words
+from .common import map_rows, row_schema, slices, split_words, whole_rows
 
 DIMS = 1 << 14
 #: The scorer is fitted on a sample of about so many posterior-labelled distinct texts, chosen by
@@ -279,8 +279,7 @@ def fit(docs: DataFrame, text_col: str = "text", train_rows: int = TRAIN_ROWS) -
 
 def score_documents(docs: DataFrame, weights: np.ndarray, rates: np.ndarray, prior: float, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (all if None) as a struct ``row``, with ``score`` and ``weak_posterior``."""
-    names = docs.columns if keep is None else keep
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(whole_rows(docs, keep), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,7 +289,7 @@ def score_documents(docs: DataFrame, weights: np.ndarray, rates: np.ndarray, pri
                 chances = _posterior(found, rates, prior)[at.ravel()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts.scores(weights)), pa.array(chances)], ["row", "score", "weak_posterior"])
 
-    return map_rows(rows, f"row {rows.schema['row'].dataType.simpleString()}, score double, weak_posterior double", run)
+    return map_rows(rows, row_schema(rows, "score double, weak_posterior double"), run)
 
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -138,17 +138,18 @@ def test_quality_equals_plain_rules(spark):
     """Perplexity, bands and kept of all documents of a table, whatever its partitions."""
     docs = documents(spark).where("doc_id < 90")
     rows = docs.collect()
-    slow = {lang: SlowKneserNey([r["text"] for r in rows if r["lang"] == lang]) for lang in {r["lang"] for r in rows}}
-    score = {r["doc_id"]: slow[r["lang"]].log_perplexity(r["text"]) for r in rows}
+    half = dict(docs.select("doc_id", perplexity._half(F.col("text"))).collect())
+    slow = {(lang, h): SlowKneserNey([r["text"] for r in rows if r["lang"] == lang and half[r["doc_id"]] != h]) for lang in {r["lang"] for r in rows} for h in (0, 1)}
+    score = {r["doc_id"]: slow[r["lang"], half[r["doc_id"]]].log_perplexity(r["text"]) for r in rows}  # by the texts of the other half
     counts = {r["doc_id"]: slow_counts(r["text"]) for r in rows}
     failed = {i: c[0] < 50 or 100 * c[4] > 50 * c[0] for i, c in counts.items()}
     want = {}
-    for lang in slow:
+    for lang in {lang for lang, _ in slow}:
         texts = {r["text"]: score[r["doc_id"]] for r in rows if r["lang"] == lang and not failed[r["doc_id"]]}
         steps = sorted(math.floor(x * 2048) for x in texts.values())
         low, high = (steps[-(-q * len(steps) // 4) - 1] / 2048 for q in (1, 3)) if steps else (1, 0)
-        width = max(0.02, 4 * (high - low))
-        want |= {r["doc_id"]: not failed[r["doc_id"]] and low - width <= score[r["doc_id"]] <= high + width for r in rows if r["lang"] == lang}
+        below, above = (max(0.02, k * (high - low)) for k in (4, 3))
+        want |= {r["doc_id"]: not failed[r["doc_id"]] and low - below <= score[r["doc_id"]] <= high + above for r in rows if r["lang"] == lang}
     results = []
     for n in (1, 7, 211):
         got = perplexity.quality(docs.repartition(n, "source")).collect()
