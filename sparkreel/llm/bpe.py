@@ -30,6 +30,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import regex
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,6 +123,7 @@ class DuckBpe:
         self.cache, self.first, self.after = Memory(CACHE_PIECES), Memory(CACHE_PARTS // 8), Memory(CACHE_PARTS)
         # A blank with white space before it and white space or nothing after it.
         self.blanks = re.compile(r"\s (?:\s|\Z)")
+        self.cuts_at_blanks = pattern == PATTERN  # shown for this pattern alone
         token = pa.array(list(self.ranks.values()), pa.int64())
         self.db.register("_v", pa.table({"token": token, "shown": [b.hex() for b in self.ranks]}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM _v")
@@ -198,13 +200,14 @@ class DuckBpe:
 
         The pattern never matches across a blank that follows a non-blank or precedes one, but lets
         the blank lead what follows; so a text is cut at its blanks and each distinct part is cut by
-        the pattern once. Texts with longer runs of white space are cut by the pattern as a whole.
+        the pattern once. Texts with longer runs of white space, and all texts under another pattern
+        than ``public_tokenizers.PATTERN``, are cut by the pattern as a whole.
         """
         for memory in (self.cache, self.first, self.after):
             memory.make_room()
         split, whole, first, after = [], {}, set(), set()
         for text in texts:
-            if self.blanks.search(text):
+            if not self.cuts_at_blanks or self.blanks.search(text):
                 whole[len(split)] = self.pattern.findall(text)
                 split.append([])
                 continue

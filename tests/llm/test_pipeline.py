@@ -52,7 +52,7 @@ def test_stages_take_odd_and_empty_rows(spark):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     db = duckdb.connect()
-    for table in ("embeddings", "pages"):
+    for table in ("embeddings", "pages", "documents", "benchmark"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = db.sql(queries.oracle_sql()[name])
     got = queries.queries()[name](spark, SF)

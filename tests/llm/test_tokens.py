@@ -167,6 +167,15 @@ def test_bpe_equals_library(spark):
     assert coder.decode(ids) == [t.encode() for t in texts]
 
 
+@pytest.mark.parametrize("pattern", [r"\S+ ?|\s+", r"\p{L}+|[^\p{L}]+", r"(?s).{1,7}"])
+def test_bpe_under_other_patterns(pattern):
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.load_ranks(ranks), special_tokens={})
+    texts = ["", "the cat sat on the mat", " a  b   c ", "don't stop\n\n now 12 345 é 日本", "x" * 40 + " y"]
+    got = bpe.DuckBpe(ranks, pattern).encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [plain.encode_ordinary(t) for t in texts]
+
+
 def test_bpe_forgets_and_still_encodes(monkeypatch):
     want = bpe.DuckBpe(RANKS, public_tokenizers.PATTERN).encode(ODD)
     monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
