@@ -84,3 +84,17 @@ def connected_components(links: DataFrame, hub: int = HUB) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
     )
+
+
+def join_further(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``connected_components`` of the links behind ``roots(node, component)`` and of more ``links(a, b)``.
+
+    The new links are drawn between the components that there are, so a component costs one node,
+    however many members it has. A node that neither table holds isn't in the result.
+    """
+    of_a, of_b = roots.toDF("a", "in_a"), roots.toDF("b", "in_b")
+    ends = links.where("a is not null and b is not null").join(of_a, "a", "left").join(of_b, "b", "left")
+    between = ends.select(F.coalesce("in_a", "a").alias("a"), F.coalesce("in_b", "b").alias("b")).where("a != b").distinct()
+    upper = materialise(connected_components(between), "upper")
+    lower = roots.join(upper.toDF("component", "top"), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return lower.unionByName(upper.join(roots, "node", "left_anti"))

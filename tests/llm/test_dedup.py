@@ -9,7 +9,7 @@ import xxhash
 from helpers import DOCS, components, odd_documents
 
 from sparkreel.llm import embeddings, simhash
-from sparkreel.llm.components import connected_components
+from sparkreel.llm.components import connected_components, join_further
 
 
 def slow_fingerprint(text):
@@ -151,3 +151,15 @@ def test_odd_vectors(spark):
     alone = [(i, 0, i, True) for i in (1, 2, 3, 4, 5, 6, 9, 10)]
     assert got == sorted([*alone, (7, 4, 7, True), (8, 4, 7, False), (8, 4, 7, False), (0, 4, 7, False), (11, 4, 7, False)])
     assert embeddings.near_duplicate_vectors(df.limit(0)).count() == 0
+
+
+def test_components_joined_further(spark):
+    rng = random.Random(5)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)]
+    roots = connected_components(spark.createDataFrame(links[:110], "a long, b long"))
+    more = spark.createDataFrame([*links[110:], (None, 3), (7, 7)], "a long, b long")
+    want = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert {r["node"]: r["component"] for r in join_further(roots, more).collect()} == want
+    none = spark.createDataFrame([], "a long, b long")
+    assert {(r["node"], r["component"]) for r in join_further(roots, none).collect()} == {(r["node"], r["component"]) for r in roots.collect()}
+    assert join_further(connected_components(none), none).count() == 0
