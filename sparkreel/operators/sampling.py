@@ -18,6 +18,10 @@ from ..config import MiningConfig
 from .permutation import pass_keys, permuted
 
 
+#: Frames of a pool that are put in order within one row.
+ARRAY_FRAMES = 1 << 18
+
+
 def pool_size(stride: int, total: str = "total_frames") -> Column:
     """How many of 0, stride, 2 * stride .. lie below column ``total``."""
     return F.expr(f"if({total} > 0, ({total} + {stride - 1}) div {stride}, 0L)")
@@ -35,34 +39,45 @@ def actual_rounds(config: MiningConfig, total: str = "total_frames") -> Column:
     return most if config.round_limit is None else F.least(most, F.lit(config.round_limit).cast("long"))
 
 
-def frame_pool(samples: DataFrame, stride: int) -> DataFrame:
-    """``samples`` with a row for each frame of its pool."""
-    frames = F.sequence(F.lit(0).cast("long"), F.col("total_frames") - 1, F.lit(stride).cast("long"))
-    return samples.where("total_frames > 0").withColumn("frame_index", F.explode(frames))
-
-
 def generate_rounds(samples: DataFrame, config: MiningConfig, fast: bool = False) -> DataFrame:
     """``(sample_id, sample_index, round_id, frame_indices, remaining_pool_size)``.
 
-    ``samples`` needs sample_id, sample_index and total_frames. The order hash is md5, which other
-    engines compute alike; ``fast`` takes xxhash64. A limit on rounds is a bound on the bare rank,
-    so Spark drops the rest of each pool before it shuffles it in full (a window group limit).
+    ``samples`` needs sample_id, sample_index and total_frames; repeated rows are one pool that holds each
+    frame as often. The order hash is md5, which other engines compute alike; ``fast`` takes xxhash64.
+    Samples are dealt out by sample_index before their frames exist, and a pool is put in order within its
+    sample's row, so no frame is shuffled or spilled and what joins by sample_index afterwards need not move
+    the rounds. Pools of more than ``ARRAY_FRAMES`` frames are sorted as rows of Spark instead.
     """
+    k, stride, keys = config.budget_k, config.frame_stride, ["sample_index", "sample_id", "total_frames"]
     seed = F.lit(config.random_seed) + F.col("sample_index")
-    order = F.xxhash64(seed, "frame_index") if fast else F.md5(F.concat_ws(":", seed.cast("string"), F.col("frame_index").cast("string")).cast("binary"))
-    k = config.budget_k
-    pool = frame_pool(samples.select("sample_id", "sample_index", "total_frames"), config.frame_stride)
-    ranked = pool.withColumn("rank", F.row_number().over(W.partitionBy("sample_index", "sample_id", "total_frames").orderBy(order, "frame_index")))
+
+    def order(frame: Column) -> Column:
+        return F.xxhash64(seed, frame) if fast else F.md5(F.concat_ws(":", seed.cast("string"), frame.cast("string")).cast("binary"))
+
+    parts = max(1, int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = samples.where("total_frames > 0").select(*keys).repartition(parts, "sample_index").groupBy(*keys).agg(F.count("*").alias("copies"))
+    frames = F.sequence(F.lit(0).cast("long"), F.col("total_frames") - 1, F.lit(stride).cast("long"))
+    short = pool_size(stride) * F.col("copies") <= ARRAY_FRAMES
+
+    ordered = F.transform(F.sort_array(F.transform(frames, lambda f: F.struct(order(f).alias("hash"), f.alias("frame")))), lambda x: x["frame"])
+    pool = F.when(F.col("copies") == 1, ordered).otherwise(F.flatten(F.transform(ordered, lambda f: F.array_repeat(f, F.col("copies").cast("int")))))
+    last = actual_rounds(config).cast("int") - 1
+    cut = lambda p: F.transform(F.sequence(F.lit(0), last), lambda r: F.struct(r.alias("round_id"), F.sort_array(F.slice(p, r * k + 1, F.lit(k))).alias("frame_indices")))
+    # The pool is an argument of the outer function, so it is computed once and not again for each round.
+    rounds = dealt.where(short & (last >= 0)).select(*keys, F.explode(F.transform(F.array(pool), cut)[0]).alias("round")).select(*keys, "round.*")
+
+    rows = dealt.where(~short).withColumn("frame_index", F.explode(frames)).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    ranked = rows.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(order(F.col("frame_index")), "frame_index")))
     if config.round_limit is not None:
         ranked = ranked.where(F.col("rank") <= config.round_limit * k)
-    rounds = ranked.withColumn("round_id", F.expr(f"cast((rank - 1) div {k} as int)"))
-    rounds = rounds.where(F.col("round_id") < actual_rounds(config))
-    return rounds.groupBy("sample_index", "sample_id", "total_frames", "round_id").agg(F.array_sort(F.collect_list("frame_index")).alias("frame_indices")).select(
+    ranked = ranked.withColumn("round_id", F.expr(f"cast((rank - 1) div {k} as int)")).where(F.col("round_id") < actual_rounds(config))
+    rounds = rounds.union(ranked.groupBy(*keys, "round_id").agg(F.sort_array(F.collect_list("frame_index")).alias("frame_indices")))
+    return rounds.select(
         "sample_id",
         "sample_index",
         "round_id",
         "frame_indices",
-        (pool_size(config.frame_stride) - (F.col("round_id") + 1) * k).cast("long").alias("remaining_pool_size"),
+        (pool_size(stride) - (F.col("round_id") + 1) * k).cast("long").alias("remaining_pool_size"),
     )
 
 
@@ -128,9 +143,9 @@ def validate_rounds(rounds: DataFrame, samples: DataFrame, budget_k: int) -> Dat
     """
     f = F.col("frame_indices")
     checked = rounds.join(samples.select("sample_index", "total_frames"), "sample_index").withColumn(
-        "fine", F.coalesce((F.size(f) == budget_k) & (f == F.array_sort(f)) & F.forall(f, lambda x: (x >= 0) & (x < F.col("total_frames"))), F.lit(False))
-    )
-    frames = checked.select("sample_id", "sample_index", "fine", F.explode_outer("frame_indices").alias("frame"))
-    return frames.groupBy("sample_id", "sample_index", "frame").agg(F.bool_and("fine").alias("fine"), F.count("*").alias("times")).groupBy("sample_id", "sample_index").agg(
-        (F.bool_and("fine") & (F.max("times") == 1)).alias("valid")
+        "fine", F.coalesce((F.size(f) == budget_k) & (f == F.sort_array(f)) & F.forall(f, lambda x: (x >= 0) & (x < F.col("total_frames"))), F.lit(False))
     )
+    # All fine rounds hold budget_k frames, so none is drawn twice if as many are distinct; a sample's rounds are one row, its frames no rows.
+    grouped = checked.groupBy("sample_id", "sample_index").agg(F.bool_and("fine").alias("fine"), F.collect_list(F.when(F.col("fine"), f)).alias("drawn"))
+    distinct = F.size(F.array_distinct(F.flatten("drawn"))) == budget_k * F.size("drawn")
+    return grouped.select("sample_id", "sample_index", (F.col("fine") & distinct).alias("valid"))

@@ -1,3 +1,5 @@
+import collections
+import hashlib
 import json
 import random
 
@@ -322,3 +324,50 @@ def test_a_model_is_made_once_a_process(spark, tmp_path):
         assert sorted(r["id"] for r in got) == list(range(1, 41))
     made = open(log).read().split()
     assert made and len(made) == len(set(made))
+
+
+def test_pools_are_ordered_without_moving_frames(spark, monkeypatch):
+    """No frame is sorted or shuffled as a row of Spark; repeated samples, and pools too long for one row, give the rounds they always gave."""
+    config = MiningConfig(budget_k=3, frame_stride=2, max_iterations=4)
+    rows = [("a", 0, 40), ("b", 1, 7), ("b", 1, 7), ("c", 2, 5), ("d", 3, 0), ("e", 4, None), ("f", None, 30), ("a", 0, 12)]
+    s = spark.createDataFrame(rows, "sample_id string, sample_index long, total_frames long")
+    want = []
+    for (name, index, total), copies in collections.Counter(rows).items():
+        pool = [f for f in range(0, total or 0, 2) for _ in range(copies)]
+        text = lambda f: ":".join([*([str(42 + index)] if index is not None else []), str(f)])  # noqa: B023, E731
+        pool.sort(key=lambda f: (hashlib.md5(text(f).encode()).hexdigest(), f))
+        n = min(-(-(total or 0) // 2) // 3, 4)
+        want += [(name, index, r, sorted(pool[3 * r : 3 * r + 3]), -(-total // 2) - 3 * (r + 1)) for r in range(n)]
+    got = lambda: sorted((tuple(r) for r in sampling.generate_rounds(s, config).collect()), key=repr)
+    assert got() == sorted(want, key=repr)
+    frames = sampling.generate_rounds(s, config)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(sample_index" in frames and "Exchange hashpartitioning(sample_index#0L, sample_id" not in frames
+    assert "ENSURE_REQUIREMENTS" not in frames  # samples alone are dealt out
+    monkeypatch.setattr(sampling, "ARRAY_FRAMES", 6)
+    assert got() == sorted(want, key=repr)
+
+
+def test_validation_moves_no_frames(spark):
+    config = MiningConfig(budget_k=4, frame_stride=1)
+    s = spark.createDataFrame([(f"s{i}", i, 40) for i in range(3)], "sample_id string, sample_index long, total_frames long")
+    valid = sampling.validate_rounds(sampling.generate_rounds(s, config), s, 4)
+    assert "explode_outer" not in valid._jdf.queryExecution().analyzed().toString().lower()
+    assert {tuple(r) for r in valid.collect()} == {(f"s{i}", i, True) for i in range(3)}
+    twice = sampling.generate_rounds(s, config).where("round_id = 0").union(sampling.generate_rounds(s.where("sample_index = 1"), config).where("round_id = 0"))
+    assert {r["sample_index"]: r["valid"] for r in sampling.validate_rounds(twice, s, 4).collect()} == {0: True, 1: False, 2: True}
+
+
+def test_a_frame_of_results_for_each_arrow_batch(spark, monkeypatch):
+    """Asked batches are gathered as plain rows; one pandas frame holds all of them."""
+    class Array(list):
+        tolist = lambda self: [int(x) for x in self]
+
+    part = [("a", 0, Array([1, 2]), "two words", ["x"]), ("a", 1, Array([3]), None, None), ("b", 0, Array([9]), "q", [])]
+
+    def predict(items):
+        if any(9 in i["frame_indices"] for i in items):
+            raise ValueError("no\nmore")
+        return [" yes it is " for _ in items]
+
+    rows = list(inference.answered(predict, lambda s: len(s.split()), part))
+    assert rows == [("a", 0, [1, 2], "yes it is", 2, 3, 2, None), ("a", 1, [3], "yes it is", 2, 3, 1, None), ("b", 0, [9], None, None, None, None, "more")]
