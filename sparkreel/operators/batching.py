@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import RESULTS
-from .inference import Predict, answered, once_a_process
+from .inference import Predict, answered, once_a_process, results_frame, rounds_of
 from .ordering import numbered
 
 #: Lengths of a class differ by an eighth of the shortest at the most, and so does the padding.
@@ -60,9 +60,9 @@ def predict_batches(rounds: DataFrame, samples: DataFrame, make: Callable[[], Pr
             ready = waiting[waiting["batch"] != last]
             waiting = waiting[waiting["batch"] == last]
             for _, own in ready.groupby("batch", sort=False):
-                yield answered(predict, count, own)
+                yield results_frame(list(answered(predict, count, rounds_of(own))))
         if waiting is not None and len(waiting):
-            yield answered(predict, count, waiting)
+            yield results_frame(list(answered(predict, count, rounds_of(waiting))))
 
     dealt = batched.repartition("batch").sortWithinPartitions("batch", "sample_index", "round_id")
     return dealt.select("batch", "sample_id", "round_id", "frame_indices", "question", "candidates").mapInPandas(run, RESULTS, profile=profile)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..schemas import RESULTS
 
 Predict = Callable[[list[dict]], list[str]]
+NAMES = ["sample_id", "round_id", "frame_indices", "prediction", "input_tokens", "output_tokens", "num_frames", "error"]
 
 
 class OutOfMemory(RuntimeError):
@@ -56,23 +57,30 @@ def _answers(predict: Predict, items: list[dict]) -> list[tuple[str | None, str
     """(answer, error) of each item; if a batch fails, its items are asked one by one."""
     try:
         return [(str(a).strip(), None) for a in degrade(predict, items)]
-    except Exception:  # an item's failure is its row's error
+    except Exception as e:  # an item's failure is its row's error
         if len(items) == 1:
-            return [(None, traceback.format_exc(limit=1).strip().splitlines()[-1])]
+            return [(None, "".join(traceback.format_exception_only(e)).strip().splitlines()[-1])]
         return [_answers(predict, [i])[0] for i in items]
 
 
-def answered(predict: Predict, count: Callable[[str], int], part):
-    """The results of one batch, a pandas frame of rounds with their questions."""
+def rounds_of(part) -> list[tuple]:
+    """The rounds of a pandas frame: (sample_id, round_id, frame_indices, question, candidates)."""
+    return list(zip(part["sample_id"], part["round_id"], part["frame_indices"], part["question"], part["candidates"]))
+
+
+def results_frame(rows: list[tuple]):
     import pandas as pd
 
-    items = [{"question": q, "candidates": list(c) if c is not None else [], "frame_indices": [int(x) for x in f]} for q, c, f in zip(part["question"], part["candidates"], part["frame_indices"])]
-    padded, rows = max(count(i["question"] or "") for i in items), []
-    for (sample, number), item, (answer, error) in zip(zip(part["sample_id"], part["round_id"]), items, _answers(predict, items)):
+    return pd.DataFrame(rows, columns=NAMES, dtype=object).astype({"round_id": "int32", "input_tokens": "Int32", "output_tokens": "Int32", "num_frames": "Int32"})
+
+
+def answered(predict: Predict, count: Callable[[str], int], part: list[tuple]) -> Iterator[tuple]:
+    """The results of one batch of rounds (sample_id, round_id, frame_indices, question, candidates)."""
+    items = [{"question": q, "candidates": list(c) if c is not None else [], "frame_indices": f.tolist()} for _, _, f, q, c in part]
+    padded = max(count(i["question"] or "") for i in items)
+    for (sample, number, *_), item, (answer, error) in zip(part, items, _answers(predict, items)):
         frames = item["frame_indices"]
-        rows.append((sample, int(number), frames, answer, None if error else padded, None if error else count(answer), None if error else len(frames), error))
-    names = ["sample_id", "round_id", "frame_indices", "prediction", "input_tokens", "output_tokens", "num_frames", "error"]
-    return pd.DataFrame(rows, columns=names).astype({"input_tokens": "Int32", "output_tokens": "Int32", "num_frames": "Int32"})
+        yield (sample, number, frames, answer, None, None, None, error) if error else (sample, number, frames, answer, padded, count(answer), len(frames), None)
 
 
 def predict_rounds(rounds: DataFrame, samples: DataFrame, make: Callable[[], Predict], batch_size: int = 16, token_count: Callable[[str], int] | None = None, profile: ResourceProfile | None = None) -> DataFrame:
@@ -85,13 +93,13 @@ def predict_rounds(rounds: DataFrame, samples: DataFrame, make: Callable[[], Pre
     make = once_a_process(make)
 
     def run(batches: Iterator):
-        import pandas as pd
-
         predict, count = make(), token_count or (lambda s: len(s.split()))
         for batch in batches:
-            parts = [answered(predict, count, batch.iloc[at : at + batch_size]) for at in range(0, len(batch), batch_size)]
-            if parts:
-                yield pd.concat(parts)
+            asked, rows = rounds_of(batch), []
+            for at in range(0, len(asked), batch_size):
+                rows += answered(predict, count, asked[at : at + batch_size])
+            if rows:
+                yield results_frame(rows)
 
     asked = rounds.select("sample_index", "sample_id", "round_id", "frame_indices").join(samples.select("sample_index", "question", "candidates"), "sample_index")
     ordered = asked.repartition("sample_index").sortWithinPartitions("sample_index", "round_id")
