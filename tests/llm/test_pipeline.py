@@ -61,3 +61,15 @@ def test_query_equals_sql(spark, name):
 
 def test_names():
     assert [n.split("_")[0] for n in queries.queries()] == [f"op{n}" for n in range(1, 14)]
+
+
+def test_near_duplicates_leave_one_row_of_each_group(spark):
+    """Repeated rows and rows without a doc_id are deduplicated too."""
+    text = " ".join(f"w{i}" for i in range(40))
+    near, other = text + " w40", " ".join(f"x{i}" for i in range(30))
+    rows = [(3, text, "a"), (3, text, "a"), (5, near, "b"), (None, text, "c"), (None, other, "d"), (None, other, "e"), (7, None, "f"), (None, "", "g"), (9, "lone", "h"), (3, other + " y z", "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `sp ace` string").repartition(3)
+    left = sorted(map(tuple, corpus_pipeline.near_duplicates(spark, docs, SF).collect()), key=repr)
+    assert left == sorted([(3, text, "a"), (3, other + " y z", "i"), (7, None, "f"), (9, "lone", "h")], key=repr)
+    nameless = docs.where("doc_id is null")
+    assert sorted(r["sp ace"] in "cdeg" and r["text"] for r in corpus_pipeline.near_duplicates(spark, nameless, SF).collect()) == sorted(["", text, other])
