@@ -2,12 +2,11 @@
 
 The model is over character n-grams of order 4 of any script, two models a language: texts fall
 into two halves by their hash (copies into the same one), and each half is judged by the model of the other, which hasn't
-seen its texts. An n-gram is
-a 64-bit number (four 16-bit symbols) and is kept under a hash of ``HASH_BITS`` bits: Spark counts all
-texts, and of n-grams that share a hash the least stands for all, so a language has at most
-2 ** HASH_BITS of them however large the corpus. A fitted model is a few sorted hash arrays: the n-grams of each
-order with their discounted probabilities, and their contexts with back-off weights, looked up by
-binary search. A task loads the models of the languages that it meets; nothing is broadcast.
+seen its texts. An n-gram is a 64-bit number (four 16-bit symbols), and each is counted by itself,
+however many there are. Spark counts, joins discounts and contexts, and sorts the fitted model into files of about
+``PART_NGRAMS`` rows: the n-grams of each order with their discounted probabilities, and their contexts
+with back-off weights, looked up by binary search. A task loads the models of the languages that it meets;
+of a model over ``HELD_BYTES`` it reads the files in turn. Nothing is broadcast.
 A document whose perplexity lies outside its language's band is rejected.
 """
 
@@ -24,9 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import filesystem, map_rows, materialise, new_path, publish, row_schema, slices, whole_rows
+from .common import filesystem, map_rows, materialise, new_path, partitions, publish, row_schema, slices, whole_rows
 
-ORDER, BITS, HASH_BITS = 4, 16, 22
+#: N-grams are told apart by so many bits of a hash; by themselves, none left out, if these are as many as they have.
+ORDER, BITS, HASH_BITS = 4, 16, 64
+#: Rows of a model's file.
+PART_NGRAMS = 1 << 20
 #: Bytes of models that a task holds at a time (one model at least); any number of languages may occur.
 HELD_BYTES = 256 << 20
 #: Distinct n-grams that a task holds before it hands their counts on, and characters of a text taken at a time.
@@ -72,10 +74,12 @@ def _low(keys: np.ndarray, n: int) -> np.ndarray:
 
 
 def hashed(keys: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of ``HASH_BITS`` bits of n-grams of order ``n``."""
+    """Names of ``HASH_BITS`` bits of n-grams of order ``n``: the n-grams themselves, or hashes where bits are fewer."""
+    if HASH_BITS == ORDER * BITS:
+        return keys
     x = (keys + _U(n)) * _U(0x9E3779B97F4A7C15)
     x = (x ^ (x >> _U(32))) * _U(0xD6E8FEB86659FD93)
-    return ((x ^ (x >> _U(32))) >> _U(64 - HASH_BITS)).astype(np.uint32)
+    return (x ^ (x >> _U(32))) >> _U(64 - HASH_BITS)
 
 
 def _half(text: Column) -> Column:
@@ -89,7 +93,7 @@ def _language(column: str):
 
 
 def count_ngrams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``(lang, half, hash, key, n)`` over all texts: how often n-grams of each hash occur, and the least of them."""
+    """``(lang, half, key, n)`` over all texts: how often each n-gram occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -102,7 +106,7 @@ def count_ngrams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         def out() -> Iterator[pa.RecordBatch]:
             for (lang, half), parts in waiting.items():
                 keys, n = merged(parts)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(np.full(len(keys), half, np.int32)), pa.array(hashed(keys, ORDER).astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(n)], ["lang", "half", "hash", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(np.full(len(keys), half, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)], ["lang", "half", "key", "n"])
             waiting.clear()
 
         for batch in batches:
@@ -125,17 +129,30 @@ def count_ngrams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
     text = F.col(text_col).cast("string")
     rows = docs.select(_language(lang_col).alias("lang"), text.alias("text"), _half(text).alias("half"))
-    return map_rows(rows, "lang string, half int, hash int, key long, n long", run).groupBy("lang", "half", "hash").agg(F.min("key").alias("key"), F.sum("n").alias("n"))
+    return map_rows(rows, "lang string, half int, key long, n long", run).groupBy("lang", "half", "key").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts: np.ndarray) -> np.ndarray:
     """D for counts 0, 1, 2 and 3 or more (Chen and Goodman), kept within (0, count)."""
-    n1, n2, n3, n4 = (int(np.count_nonzero(counts == i)) for i in (1, 2, 3, 4))
+    return _discounts_of(*(int(np.count_nonzero(counts == i)) for i in (1, 2, 3, 4)))
+
+
+def _discounts_of(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
+    """The same from how many n-grams occur once, twice, and so on."""
     y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.5
     raw = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
     return np.array([0.0, *(min(max(d, 0.05), i - 0.05) for i, d in enumerate(raw, 1))])
 
 
+def _found(names: np.ndarray, values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``keys`` are among the sorted ``names``, and their values (else 0)."""
+    if not len(names):
+        return np.zeros(len(keys), bool), np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
+    there = names[at] == keys
+    return there, np.where(there, values[at], 0.0)
+
+
 class Model:
     """For orders 1 to 4: sorted hashes of n-grams, their discounted probabilities, sorted hashes of contexts, back-off weights."""
 
@@ -165,18 +182,20 @@ class Model:
 
     def probability(self, keys: np.ndarray) -> np.ndarray:
         """Of the last symbol after the others, by binary search at each order from the lowest up."""
-        p = np.full(len(keys), 1.0 / (len(self.levels[0][0]) + 1))
-        if not len(self.levels[0][0]):  # a model of no text: all symbols alike
+        symbols = self.symbols()
+        p = np.full(len(keys), 1.0 / (symbols + 1))
+        if not symbols:  # a model of no text: all symbols alike
             return np.full(len(keys), 2.0**-BITS)
-        for n, (grams, share, contexts, weights) in enumerate(self.levels, 1):
+        for n in range(1, ORDER + 1):
             own = _low(keys, n)
-            context, gram = hashed(own >> _U(BITS), n - 1), hashed(own, n)
-            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-            known = contexts[at] == context
-            place = np.minimum(np.searchsorted(grams, gram), len(grams) - 1)
-            p = np.where(known, weights[at] * p + np.where(grams[place] == gram, share[place], 0.0), p)
+            known, weight = self.found(n, 1, hashed(own >> _U(BITS), n - 1))
+            p = np.where(known, weight * p + self.found(n, 0, hashed(own, n))[1], p)
         return p
 
+    def found(self, n: int, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``keys`` are among the n-grams (kind 0) or contexts (1) of order ``n``, and their values (else 0)."""
+        return _found(*self.levels[n - 1][2 * kind : 2 * kind + 2], keys)
+
     def log_perplexity(self, texts: list[str | None]) -> np.ndarray:
         """Mean of -log10 p over the symbols of each text; each distinct n-gram is looked up once."""
         parts = [(i, keys) for i, text in enumerate(texts) for keys in ngram_keys(text)]
@@ -196,6 +215,10 @@ class Model:
             at = upto
         return total / np.maximum(count, 1)
 
+    def symbols(self) -> int:
+        """Distinct symbols: n-grams of order 1."""
+        return len(self.levels[0][0])
+
     def size(self) -> int:
         return sum(x.nbytes for level in self.levels for x in level)
 
@@ -210,37 +233,140 @@ class Model:
         return cls([[np.load(file, allow_pickle=False) for _ in range(4)] for _ in range(ORDER)])
 
 
+class FiledModel(Model):
+    """A model too large to be held: ``parts`` are its files in order, of which one is held at a time."""
+
+    def __init__(self, files: fs.FileSystem, parts: list[tuple[tuple[int, int], str, int]]):
+        self.files, self.parts, self.held = files, parts, (-1, None)
+
+    def _part(self, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if self.held[0] != i:
+            self.held = (i, _read_part(self.files, self.parts[i][1]))
+        return self.held[1]
+
+    def found(self, n: int, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        code, there, values = 2 * n + kind, np.zeros(len(keys), bool), np.zeros(len(keys))
+        firsts = [first for first, _, _ in self.parts]
+        for i, first in enumerate(firsts):
+            after = firsts[i + 1] if i + 1 < len(firsts) else (2 * ORDER + 2, 0)
+            if first[0] > code or after <= (code, 0):
+                continue
+            mine = keys >= _U(first[1] if first[0] == code else 0)
+            if after[0] == code:
+                mine &= keys < _U(after[1])
+            if mine.any():
+                codes, names, shares = self._part(i)
+                own = slice(*np.searchsorted(codes, (code, code + 1)))
+                there[mine], values[mine] = _found(names[own], shares[own], keys[mine])
+        return there, values
+
+    def symbols(self) -> int:
+        return sum(int(np.count_nonzero(self._part(i)[0] == 2)) for i, (first, _, _) in enumerate(self.parts) if first[0] <= 2)
+
+    def size(self) -> int:
+        return max(size for _, _, size in self.parts)
+
+
 def _model_path(folder: str, lang: str, half: int) -> str:
     return f"{folder}/{xxhash.xxh3_128_hexdigest(lang.encode())}-{half}"
 
 
+def _model_rows(counts: DataFrame) -> DataFrame:
+    """``(lang, half, code, key, value)``: of each order n its n-grams with their discounted shares (code 2n) and contexts with their weights (2n + 1).
+
+    Sums are of whole numbers, so values don't depend on the order of rows.
+    """
+
+    def discounts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d = [_discounts_of(*row)[1:] for row in zip(*(batch.column(i).to_pylist() for i in range(2, 6)))]
+            d = [pa.array(x, pa.float64()) for x in zip(*d)] or [pa.array([], pa.float64())] * 3
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *d], ["lang", "half", "d1", "d2", "d3"])
+
+    of, grams, out = ["lang", "half"], counts.select("lang", "half", "key", F.col("n").alias("c")), []
+    c, key = F.col("c"), F.col("key")
+    for n in range(ORDER, 0, -1):
+        seen = grams.groupBy(*of).agg(*[F.count_if(c == i).alias(f"n{i}") for i in (1, 2, 3, 4)])
+        seen = map_rows(seen, "lang string, half int, d1 double, d2 double, d3 double", discounts)
+        own = grams.withColumn("context", F.shiftrightunsigned(key, BITS))
+        totals = own.groupBy(*of, "context").agg(F.sum("c").alias("total"), F.count_if(c == 1).alias("n1"), F.count_if(c == 2).alias("n2"), F.count_if(c > 2).alias("n3")).join(seen, of)
+        held = F.col("n1") * F.col("d1") + F.col("n2") * F.col("d2") + F.col("n3") * F.col("d3")
+        d = F.when(c == 1, F.col("d1")).when(c == 2, F.col("d2")).otherwise(F.col("d3"))
+        out.append(own.join(totals.select(*of, "context", "total", "d1", "d2", "d3"), [*of, "context"]).select(*of, F.lit(2 * n).alias("code"), "key", ((c - d) / F.col("total")).alias("value")))
+        out.append(totals.select(*of, F.lit(2 * n + 1).alias("code"), F.col("context").alias("key"), (held / F.col("total")).alias("value")))
+        if n > 1:  # each lower order counts distinct left neighbours
+            grams = materialise(grams.groupBy(*of, key.bitwiseAND(F.lit((1 << BITS * (n - 1)) - 1)).alias("key")).agg(F.count("*").alias("c")), "lower")
+    rows = out[0]
+    for more in out[1:]:
+        rows = rows.union(more)
+    return materialise(rows, "model-rows")
+
+
 def fit_models(counts: DataFrame) -> str:
-    """The folder with the models of each language's halves, fitted and written on executors.
+    """The folder with the models of each language's halves, sorted by ranges and written on executors.
 
-    A half is a group of at most 2 ** HASH_BITS rows.
+    A file is named by the code and n-gram that it begins with; it holds ``PART_NGRAMS`` rows of one model, or what an
+    Arrow batch adds to them.
     """
     folder = new_path(counts.sparkSession, "models")
 
-    def fit(table: pa.Table) -> pa.Table:
-        keys = table.column("key").to_numpy().view(_U)
-        by = np.argsort(keys)  # rows come in any order
-        model = Model.fit(keys[by], table.column("n").to_numpy()[by])
-        lang, half, data = table.column("lang")[0].as_py(), table.column("half")[0].as_py(), io.BytesIO()
-        model.write(data)
-        publish(_model_path(folder, lang, half), lambda out: out.write(data.getvalue()))
-        return pa.table({"lang": [lang]})
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, waiting, size = None, [], 0
+
+        def out() -> None:
+            codes, keys, values = (np.concatenate(x) for x in zip(*waiting))
+            name = f"{_model_path(folder, *model)}/{codes[0]:02d}-{keys[0]:016x}"
+            publish(name, lambda f: [f.write(x) for x in _bytes_of(codes, keys, values)])
 
-    counts.select("lang", "half", "key", "n").groupBy("lang", "half").applyInArrow(fit, "lang string").count()
+        for batch in batches:
+            models = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            codes, keys, values = batch.column(2).to_numpy().astype(np.uint8), batch.column(3).to_numpy().view(_U), batch.column(4).to_numpy()
+            cuts = [0, *(i for i in range(1, len(models)) if models[i] != models[i - 1]), len(models)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if waiting and (models[a] != model or size >= PART_NGRAMS):
+                    out()
+                    waiting, size = [], 0
+                model = models[a]
+                waiting.append((codes[a:b], keys[a:b], values[a:b]))
+                size += b - a
+        if waiting:
+            out()
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64())], ["n"])
+
+    order = ["lang", "half", "code", F.col("key") < 0, "key"]  # as unsigned numbers
+    rows = _model_rows(counts).select("lang", "half", "code", "key", "value").repartitionByRange(partitions(counts.sparkSession), *order).sortWithinPartitions(*order)
+    map_rows(rows, "n long", write).agg(F.count("*")).collect()
     return folder
 
 
+def _bytes_of(*arrays: np.ndarray) -> Iterator[bytes]:
+    for x in arrays:
+        data = io.BytesIO()
+        np.save(data, x, allow_pickle=False)
+        yield data.getvalue()
+
+
+def _read_part(files: fs.FileSystem, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, n-grams and values of one file."""
+    with files.open_input_stream(path, compression=None) as f:
+        data = io.BytesIO(f.read())
+    return tuple(np.load(data, allow_pickle=False) for _ in range(3))
+
+
 def load_model(folder: str, lang: str, half: int) -> Model:
-    """The model of a language's half; one of no text where the half has none."""
+    """The model of a language's half, read in full if it fits ``HELD_BYTES``; one of no text where the half has none."""
     files, path = filesystem(_model_path(folder, lang, half))
-    if files.get_file_info(path).type == fs.FileType.NotFound:
-        return Model([[np.empty(0, np.uint32), np.empty(0), np.empty(0, np.uint32), np.empty(0)]] * ORDER)
-    with files.open_input_stream(path, compression=None) as f:
-        return Model.read(f.read())
+    found = files.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    parts = sorted(((int(f.base_name[:2]), int(f.base_name[3:], 16)), f.path, f.size) for f in found if not f.base_name.endswith(".part"))
+    if sum(size for _, _, size in parts) > HELD_BYTES:
+        return FiledModel(files, parts)
+    nothing = (np.empty(0, np.uint8), np.empty(0, _U), np.empty(0))
+    codes, keys, values = (np.concatenate(x) for x in zip(nothing, *(_read_part(files, p) for _, p, _ in parts)))
+    at = np.searchsorted(codes, np.arange(2, 2 * ORDER + 3))
+    by_code = [(keys[a:b], values[a:b]) for a, b in zip(at, at[1:])]
+    return Model([[*by_code[2 * n], *by_code[2 * n + 1]] for n in range(ORDER)])
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:

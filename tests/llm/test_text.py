@@ -2,6 +2,7 @@ import collections
 import functools
 import hashlib
 import io
+import itertools
 import math
 import re
 import zlib
@@ -528,3 +529,30 @@ def test_packed_numbers():
     for x in (rng.integers(0, 2**63, 500).astype(np.uint64) * np.uint64(2), np.empty(0, np.uint64), np.zeros(3, np.uint64), np.array([2**64 - 1], np.uint64)):
         assert (lm_scoring.unpack_ints(lm_scoring.pack_ints(x)) == x).all()
         assert (lm_scoring.unpack_sorted(lm_scoring.pack_sorted(np.sort(x))) == np.sort(x)).all()
+
+
+def test_every_ngram_counts_by_itself(spark, monkeypatch):
+    """No two n-grams share a count, and a model in files, held or not, is the one fitted in memory."""
+    words = " ".join(f"{a}{b}{chr(0x4E00 + 131 * i % 20000)}" for i, (a, b) in enumerate(itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=2)))
+    texts = [words, words[::-1], "the cat sat on the mat. " * 9, "Ελληνικά 中文字 ꙮ￮", None]
+    docs = spark.createDataFrame([(t, lang) for t in texts for lang in ("xx", None)], "text string, lang string").repartition(3)
+    exact = collections.Counter(int(k) for t in texts for keys in perplexity.ngram_keys(t) for k in keys)
+    counts = perplexity.count_ngrams(docs).cache()
+    got = collections.Counter()
+    for r in counts.where("lang = 'xx'").collect():
+        got[r["key"] % 2**64] += r["n"]
+    assert got == exact
+    folder = perplexity.fit_models(counts)
+    probes = [*texts, "unseen ελληνικά", "😀😀"]
+    for half in (0, 1):
+        rows = counts.where(f"lang = '' and half = {half}").collect()
+        keys = np.array([r["key"] for r in rows], np.int64).view(np.uint64)
+        by = np.argsort(keys)
+        want = perplexity.Model.fit(keys[by], np.array([r["n"] for r in rows])[by])
+        held = perplexity.load_model(folder, "", half)
+        assert type(held) is perplexity.Model and np.allclose(held.log_perplexity(probes), want.log_perplexity(probes), rtol=1e-12)
+        with monkeypatch.context() as m:
+            m.setattr(perplexity, "HELD_BYTES", 100)
+            filed = perplexity.load_model(folder, "", half)
+        assert isinstance(filed, perplexity.FiledModel) and (filed.log_perplexity(probes) == held.log_perplexity(probes)).all()
+    assert perplexity.load_model(folder, "none", 0).log_perplexity(["ab"])[0] == 16 * math.log10(2)
