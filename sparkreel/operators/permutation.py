@@ -9,6 +9,7 @@ numpy form gives the same numbers, for code that draws while it runs.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import Column
@@ -40,13 +41,25 @@ def permuted(place: Column, n: Column, keys: Column) -> Column:
     return F.reduce(keys, place.cast("long"), swap)
 
 
-def permuted_numbers(places: np.ndarray, n: int, seed: int) -> np.ndarray:
-    """The same for an array of places, without Spark."""
-    x = np.asarray(places, np.int64)
+def pass_numbers(n: int, seed: int | None) -> list[tuple[int, int, int]]:
+    """The keys of ``pass_keys`` without Spark."""
+    of, out = "" if seed is None else f"{seed}:", []
     for i in range(PASSES):
-        digest = hashlib.md5(f"{seed}:{i}".encode()).hexdigest()
-        k, a, b = int(digest[:15], 16) % n, int(digest[15:22], 16) + 1, int(digest[22:29], 16)
-        mirror = (k + n - x) % n
+        digest = hashlib.md5(f"{of}{i}".encode()).hexdigest()
+        out.append((int(digest[:15], 16) % n, int(digest[15:22], 16) + 1, int(digest[22:29], 16)))
+    return out
+
+
+def permute(x: np.ndarray, n: np.ndarray | int, passes: Iterable[tuple]) -> np.ndarray:
+    """Where places ``x`` go among 0..n-1; ``n`` and the passes' numbers are those of one permutation, or arrays with a value for each place."""
+    for k, a, b in passes:
+        mirror = k + n - x
+        mirror -= n * (mirror >= n)
         t = (a * np.maximum(x, mirror) + b) % PRIME
         x = np.where((t * t % PRIME) >> 15 & 1 == 1, mirror, x)
     return x
+
+
+def permuted_numbers(places: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """The same for an array of places, without Spark."""
+    return permute(np.asarray(places, np.int64), n, pass_numbers(n, seed))

@@ -10,14 +10,20 @@ from __future__ import annotations
 import random
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import MiningConfig
-from .permutation import pass_keys, permuted
+from ..schemas import ROUNDS
+from .permutation import pass_numbers, permute
 
 
+ROUND_NAMES = ["sample_id", "sample_index", "round_id", "frame_indices", "remaining_pool_size"]
+#: Places that random access permutes at a time.
+DRAWN_AT_ONCE = 1 << 16
 #: Frames of a pool that are put in order within one row.
 ARRAY_FRAMES = 1 << 18
 
@@ -81,16 +87,10 @@ def generate_rounds(samples: DataFrame, config: MiningConfig, fast: bool = False
     )
 
 
-def round_frames(round_id: Column, n: Column, keys: Column, config: MiningConfig) -> Column:
-    """The frames of round ``round_id``, from its number alone: ``budget_k`` places of the permuted pool, ascending."""
-    first = round_id.cast("long") * config.budget_k
-    places = F.sequence(first, first + (config.budget_k - 1))
-    return F.array_sort(F.transform(places, lambda j: permuted(j, n, keys) * config.frame_stride))
-
-
 def lazy_rounds(samples: DataFrame, config: MiningConfig, rounds: Column | None = None) -> DataFrame:
     """The columns of ``generate_rounds``, each round computed from its number: nothing is sorted, shuffled or windowed.
 
+    The permutation of ``permutation.permuted`` is computed in batches of places.
     ``rounds``: an array of the numbers wanted of each sample (null: none), all if left out; numbers
     that the pool has no frames for are left out. The permutation is another one than that of
     ``generate_rounds``; rounds are as disjoint and as complete.
@@ -98,16 +98,25 @@ def lazy_rounds(samples: DataFrame, config: MiningConfig, rounds: Column | None
     last = actual_rounds(config).cast("int") - 1
     every = F.when(last >= 0, F.sequence(F.lit(0), last))
     wanted = every if rounds is None else F.when(last >= 0, F.filter(rounds, lambda r: (r >= 0) & (r <= last)))
-    n = pool_size(config.frame_stride).cast("long")
-    keyed = samples.where("total_frames > 0").select("sample_id", "sample_index", n.alias("n"), pass_keys(F.lit(config.random_seed) + F.col("sample_index"), n).alias("keys"), wanted.alias("wanted"))
-    numbered = keyed.select("sample_id", "sample_index", "n", "keys", F.explode(F.col("wanted").cast("array<int>")).alias("round_id"))
-    return numbered.select(
-        "sample_id",
-        "sample_index",
-        "round_id",
-        round_frames(F.col("round_id"), F.col("n"), F.col("keys"), config).alias("frame_indices"),
-        (F.col("n") - (F.col("round_id") + 1) * config.budget_k).cast("long").alias("remaining_pool_size"),
-    )
+    n, k = pool_size(config.frame_stride).cast("long"), config.budget_k
+    pools = samples.where("total_frames > 0").select(F.col("sample_id").cast("string"), F.col("sample_index").cast("long"), n.alias("n"), wanted.cast("array<int>").alias("wanted"))
+    numbered = pools.select("sample_id", "sample_index", "n", F.explode("wanted").alias("round_id"))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, max(1, DRAWN_AT_ONCE // k)):
+                part = batch.slice(at, max(1, DRAWN_AT_ONCE // k))
+                index, size, number = part.column(1).to_pylist(), part.column(2).to_numpy(), part.column(3).to_numpy().astype(np.int64)
+                # A sample's rounds come in a row: its keys are made once.
+                starts = [i for i in range(len(index)) if i == 0 or index[i] != index[i - 1] or size[i] != size[i - 1]]
+                keys = np.array([pass_numbers(int(size[i]), None if index[i] is None else config.random_seed + index[i]) for i in starts], np.int64)
+                run = np.repeat(np.arange(len(starts)), np.diff([*starts, len(index)]))
+                passes = ((keys[run, i, j, None] for j in range(3)) for i in range(keys.shape[1]))
+                frames = np.sort(permute(number[:, None] * k + np.arange(k), size[:, None], passes), axis=1) * config.frame_stride
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(index) + 1) * k, pa.int32()), pa.array(frames.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), lists, pa.array(size - (number + 1) * k)], ROUND_NAMES)
+
+    return numbered.mapInArrow(draw, ROUNDS)
 
 
 def seeded_rounds(samples: DataFrame, config: MiningConfig) -> DataFrame:

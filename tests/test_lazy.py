@@ -1,5 +1,6 @@
 """Rounds by random access, asking while drawing, exact rates, and positions without one window."""
 
+import collections
 import random
 
 import numpy as np
@@ -104,3 +105,22 @@ def test_empty_and_null_rounds_are_invalid(spark):
     rows = [("t_0", 0, 0, [0, 10]), ("t_0", 0, 1, []), ("t_1", 1, 0, []), ("t_2", 2, 0, None), ("t_3", 3, 0, [0, 10])]
     bad = spark.createDataFrame(rows, "sample_id string, sample_index long, round_id int, frame_indices array<long>")
     assert {r["sample_index"]: r["valid"] for r in sampling.validate_rounds(bad, s, 2).collect()} == {0: False, 1: False, 2: False, 3: True}
+
+
+def test_rounds_by_random_access_are_drawn_in_batches(spark):
+    """The numbers of Catalyst's fold, drawn by arrays of places: no expression is interpreted for each frame."""
+    config = MiningConfig(budget_k=3, frame_stride=4, max_iterations=0)
+    s = spark.createDataFrame([("a", 0, 90), ("b", 1, 41), ("c", None, 30), ("d", 3, 5), ("e", 4, None), ("f", 1, 41)], "sample_id string, sample_index long, total_frames long")
+    lazy = sampling.lazy_rounds(s, config)
+    assert "lambdafunction" not in plan(lazy) and "MapInArrow" in plan(lazy)
+    n, seed = sampling.pool_size(4), F.lit(config.random_seed) + F.col("sample_index")
+    keyed = s.where("total_frames > 0").select("sample_id", n.alias("n"), permutation.pass_keys(seed, n).alias("keys")).withColumn("place", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)))
+    places = collections.defaultdict(list)
+    for r in keyed.select("sample_id", "place", permuted_place()).orderBy("sample_id", "place").collect():
+        places[r[0]].append(4 * r[2])
+    want = [(i, r, sorted(f[3 * r : 3 * r + 3]), len(f) - 3 * (r + 1)) for i, f in places.items() for r in range(len(f) // 3)]
+    assert sorted((r["sample_id"], r["round_id"], r["frame_indices"], r["remaining_pool_size"]) for r in lazy.collect()) == sorted(want)
+
+
+def permuted_place():
+    return permutation.permuted(F.col("place"), F.col("n"), F.col("keys"))
