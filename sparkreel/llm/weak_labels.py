@@ -29,6 +29,8 @@ THRESHOLD = 0.5
 RATE = 0.3
 #: Words in a window of the share of distinct words, and bytes of texts taken at a time.
 WINDOW, SLICE_BYTES = 100, 1 << 19
+#: Training texts whose numbers are unfolded at a time.
+TRAIN_SLICE = 256
 
 #: Common words of the corpus languages (English, German, French, Spanish).
 COMMON = sorted(
@@ -219,17 +221,20 @@ def fit_scorer(vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray,
     w = np.zeros(DIMS + 1)
     if not vectors:
         return w
-    row = np.repeat(np.arange(len(vectors)), [len(s) for s, _ in vectors])
-    col = np.concatenate([s for s, _ in vectors]).astype(np.int64)
-    val = np.concatenate([v for _, v in vectors])
     share = float(np.clip(labels.mean(), 0.02, 0.98))
     weight = labels / share + (1 - labels) / (1 - share)  # both classes count alike
     weight /= weight.sum()
     m = s = np.zeros(DIMS + 1)
     for t in range(1, rounds + 1):
-        z = np.bincount(row, val * w[col], len(vectors)) + w[-1]
-        error = (1 / (1 + np.exp(-z)) - labels) * weight
-        g = np.append(np.bincount(col, val * error[row], DIMS), error.sum()) + penalty * w
+        g = penalty * w
+        for at in range(0, len(vectors), TRAIN_SLICE):  # the vectors stay as they came, as whole columns of 64 bits they take several times the room
+            part, own = vectors[at : at + TRAIN_SLICE], slice(at, at + TRAIN_SLICE)
+            row = np.repeat(np.arange(len(part)), [len(s) for s, _ in part])
+            col, val = np.concatenate([s for s, _ in part]).astype(np.int64), np.concatenate([v for _, v in part])
+            z = np.bincount(row, val * w[col], len(part)) + w[-1]
+            error = (1 / (1 + np.exp(-z)) - labels[own]) * weight[own]
+            g[:-1] += np.bincount(col, val * error[row], DIMS)
+            g[-1] += error.sum()
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
         w = w - RATE * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-8)
     return w
